@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lensgraph.llm import near_dedup, quality_rules
+from lensgraph.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
 from lensgraph.llm.session import table
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -18,9 +22,20 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_mix_sources": op6_mix_sources,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": decontaminate.ORACLE}

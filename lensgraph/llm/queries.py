@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lensgraph.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
-from lensgraph.llm.session import table
+from lensgraph.llm import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, quality_fm, quality_rules
+from lensgraph.llm.session import id_remainder, table
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs, id_remainder("doc_id", 4) != 2))
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,16 +31,32 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_fm.quality(docs, quality_fm.train(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(log.unionByName(spark.createDataFrame(chat_format.CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_mix_sources": op6_mix_sources,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": decontaminate.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": decontaminate.ORACLE,
+    "op9_chat_format": chat_format.ORACLE,
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lensgraph.llm import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, quality_fm, quality_rules
+from lensgraph.llm import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, pitman_yor, quality_fm, quality_rules
 from lensgraph.llm.session import id_remainder, table
 
 
@@ -31,6 +31,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), pitman_yor.learnable())
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_fm.quality(docs, quality_fm.train(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2))
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_mix_sources": op6_mix_sources,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,

@@ -50,43 +50,67 @@ def _content(lines: Column, chunk: Column) -> Column:
     return F.array_join(F.slice(lines, chunk["first"], chunk["n"]), "\n")
 
 
-def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_chunks_removed, n_lines_removed, clean_text) for each row of ``docs``.
+def _same(other: str) -> Column:
+    return F.expr(f"d.__id <=> {other}.__id AND d.__th = {other}.__th")
 
-    Null text: no lines, null clean text.  Rows that repeat id and text are one
-    occurrence, so all of them lose what one of them loses; a null id ranks
-    first.  Ties in rank cannot occur otherwise.  Other columns are not looked at.
-    """
-    base = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).withColumn("th", F.xxhash64("text"))
-    cutting = bind(_lines("text"), lambda w: F.transform(F.filter(_chunks(w), lambda c: c["n"] >= MIN_LINES), lambda c: F.struct(c["first"].alias("first"), c["n"].alias("n"), F.xxhash64(_content(w, c)).alias("digest"))))
-    chunks = cut(base.select("doc_id", "th", F.explode(cutting).alias("c")).select("doc_id", "th", "c.*"))
+
+def _removals(base: DataFrame) -> DataFrame:
+    """(__id, __th, chunks, lines, gone): what the documents that lose lines lose; ``base`` has __id, __th and __text."""
+    texts = base.select("__id", "__th", "__text")
+    cutting = bind(_lines("__text"), lambda w: F.transform(F.filter(_chunks(w), lambda c: c["n"] >= MIN_LINES), lambda c: F.struct(c["first"].alias("first"), c["n"].alias("n"), F.xxhash64(_content(w, c)).alias("digest"))))
+    chunks = cut(texts.select("__id", "__th", F.explode(cutting).alias("c")).select("__id", "__th", "c.*"))
     repeated = chunks.groupBy("digest").agg(F.count("*").alias("m")).where("m > 1").select("digest")
-    wanted = chunks.join(repeated, "digest", "left_semi").groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "n", "digest")).alias("wanted"))
-    same = lambda other: F.expr(f"d.doc_id <=> {other}.doc_id AND d.th = {other}.th")
+    wanted = chunks.join(repeated, "digest", "left_semi").groupBy("__id", "__th").agg(F.collect_set(F.struct("first", "n", "digest")).alias("wanted"))
     held = (
-        base.alias("d")
-        .join(wanted.alias("w"), same("w"))
-        .select("d.doc_id", "d.th", F.explode(bind(_lines("d.text"), lambda x: F.transform("w.wanted", lambda c: F.struct(c["digest"].alias("digest"), c["first"].alias("first"), c["n"].alias("n"), _content(x, c).alias("content"))))).alias("c"))
-        .select("doc_id", "th", "c.*")
+        texts.alias("d")
+        .join(wanted.alias("w"), _same("w"))
+        .select("d.__id", "d.__th", F.explode(bind(_lines("d.__text"), lambda x: F.transform("w.wanted", lambda c: F.struct(c["digest"].alias("digest"), c["first"].alias("first"), c["n"].alias("n"), _content(x, c).alias("content"))))).alias("c"))
+        .select("__id", "__th", "c.*")
         .distinct()
     )
     held = cut(held)
-    kept = held.groupBy("digest", "content").agg(F.min(F.struct("doc_id", "first", "th")).alias("keep"), F.count("*").alias("m")).where("m > 1").drop("m")
-    gone = (
+    kept = held.groupBy("digest", "content").agg(F.min(F.struct("__id", "first", "__th")).alias("keep"), F.count("*").alias("m")).where("m > 1").drop("m")
+    return (
         held.join(kept, ["digest", "content"])
-        .where(~F.struct("doc_id", "first", "th").eqNullSafe(F.col("keep")))
-        .groupBy("doc_id", "th")
+        .where(~F.struct("__id", "first", "__th").eqNullSafe(F.col("keep")))
+        .groupBy("__id", "__th")
         .agg(F.count("*").alias("chunks"), F.sum("n").alias("lines"), F.flatten(F.collect_list(F.sequence("first", F.col("first") + F.col("n") - 1))).alias("gone"))
     )
+
+
+def _clean_text() -> Column:
     rest = lambda x: F.array_join(F.filter(x, lambda line, i: ~F.array_contains(F.col("g.gone"), i + 1)), "\n")
+    return F.when(F.col("g.gone").isNull(), F.col("d.__text")).otherwise(bind(_lines("d.__text"), rest))
+
+
+def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, n_lines, n_chunks_removed, n_lines_removed, clean_text) for each row of ``docs``.
+
+    Null text: no lines, null clean text.  Rows that repeat id and text are one
+    occurrence, so all of them lose what one of them loses; a null id ranks
+    first.  Ties in rank cannot occur otherwise.  Other columns are not looked at.
+    """
+    base = docs.select(F.col(id_column).alias("__id"), F.xxhash64(text_column).alias("__th"), F.col(text_column).alias("__text"))
     return (
         base.alias("d")
-        .join(gone.alias("g"), same("g"), "left")
+        .join(_removals(base).alias("g"), _same("g"), "left")
         .select(
-            "d.doc_id",
-            F.size(_lines("d.text")).cast("long").alias("n_lines"),
+            F.col("d.__id").alias("doc_id"),
+            F.size(_lines("d.__text")).cast("long").alias("n_lines"),
             F.coalesce("g.chunks", F.lit(0)).cast("long").alias("n_chunks_removed"),
             F.coalesce("g.lines", F.lit(0)).cast("long").alias("n_lines_removed"),
-            F.when(F.col("g.gone").isNull(), F.col("d.text")).otherwise(bind(_lines("d.text"), rest)).alias("clean_text"),
+            _clean_text().alias("clean_text"),
         )
     )
+
+
+def clean_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, n_chars and any others) without their repeated chunks.
+
+    Texts and n_chars follow what is left; rows that lose lines and keep none with a word go.
+    """
+    base = docs.select("*", F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th"), F.col("text").alias("__text"))
+    joined = base.alias("d").join(_removals(base).alias("g"), _same("g"), "left").select("d.*", F.col("g.gone").isNotNull().alias("__lost"), _clean_text().alias("__clean"))
+    left = joined.where(~F.col("__lost") | F.col("__clean").rlike(r"\S"))
+    counted = F.when(F.col("__lost"), F.length("__clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
+    return left.select(*(F.col("__clean").alias(c) if c == "text" else counted.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))

@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lensgraph.plans import layer_queries, relation_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**layer_queries.QUERIES, **relation_queries.QUERIES}
+ORACLE_SQL: dict[str, str] = {**layer_queries.ORACLE_SQL, **relation_queries.ORACLE_SQL}

@@ -101,7 +101,7 @@ def in_cells(vectors: DataFrame, centres: np.ndarray, probes: int, id_column: st
     return vectors.select(F.col(id_column).cast("long").alias(id_column), vector_column).mapInArrow(run, f"{id_column} long, {vector_column} {kind}, cell int")
 
 
-def knn_index(queries: DataFrame, targets: DataFrame, k: int, cells: int = 16, probes: int = 6, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+def knn_index(queries: DataFrame, targets: DataFrame, k: int, cells: int = 16, probes: int = 13, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """Approximate neighbours: every target is in its nearest cell, each query searches ``probes`` cells exactly.
 
     A cell of many vectors is many blocks, so a hot cell is spread over tasks.

@@ -8,12 +8,12 @@ at 0.75 is 1 - 5e-6.  Sets of at most ``SMALL`` shingles, whose few values
 are less independent, also take each shingle as a key, which misses nothing.
 
 1. Documents with equal shingle sets form a class; only its smallest id goes on.
-2. Within each band bucket the members meet the bucket's smallest id, and each
-   link is confirmed on the full sets rebuilt from the whole texts.
-3. Buckets whose members still lie in several components are taken up again:
-   one member of each component meets all of the others, then every member of
-   all but the largest component does, so that no pair of a bucket that could
-   join two components goes untested.  Pairs inside a component are never made.
+2. Each document in a band bucket with others meets the one that meets most
+   others in their buckets, and the link is confirmed on the full sets.
+3. Documents of buckets that still hold several components are joined exactly,
+   by prefix filtering on their full sets, pairs inside a component left out.
+   So no link of a bucket that could join two components is lost, and documents
+   that only share a bucket are told apart without being paired.
 4. Components come from alternating large and small stars.
 
 Hot buckets: the hub side of a join has one row a key, so the long side may be
@@ -85,64 +85,65 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps the pairs whose full shingle sets are similar enough; the last set of either side is remembered."""
-    remembered: dict[bytes, np.ndarray] = {}
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n, shingles) of whole texts."""
+    for batch in batches:
+        ids = batch.column(0)
+        for first, last, texts in textnp.chunks(batch, "text"):
+            words = textnp.Words(texts)
+            hashes, bounds = words.hashes, words.bounds
+            found = [textnp.shingle_set(hashes[bounds[i] : bounds[i + 1]], SHINGLE_WORDS).view(np.int64) for i in range(last - first)]
+            sizes = np.array([len(x) for x in found], dtype=np.int64)
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([ids[first:last], pa.array(sizes), pa.ListArray.from_arrays(offsets, np.concatenate(found))], names=["doc_id", "n", "shingles"])
 
-    def shingles(text: bytes) -> np.ndarray:
-        if text not in remembered:
-            if len(remembered) >= 16:
-                remembered.pop(next(iter(remembered)))
-            remembered[text] = textnp.shingle_set(textnp.Words([text]).hashes, SHINGLE_WORDS)
-        return remembered[text]
 
-    for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        left, right = (batch.column(i).cast(pa.binary()) for i in (2, 3))
-        kept = []
-        for i in range(len(a)):
-            x, y = shingles(left[i].as_py()), textnp.shingle_set(textnp.Words([right[i].as_py()]).hashes, SHINGLE_WORDS)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= PERCENT * (len(x) + len(y) - common):
-                kept.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64())], names=["u", "v"])
-
-
-def _links(pairs: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The confirmed ones among distinct pairs (u, v); sizes alone rule many out before any text is moved."""
-    near = (
-        pairs.join(sizes.select(F.col("doc_id").alias("u"), F.col("n").alias("nu")), "u")
-        .join(sizes.select(F.col("doc_id").alias("v"), F.col("n").alias("nv")), "v")
-        .where(F.lit(100) * F.least("nu", "nv") >= F.lit(PERCENT) * F.greatest("nu", "nv"))
-        .select("u", "v")
-    )
-    near = cut(near)
-    needed = near.select(F.col("u").alias("doc_id")).union(near.select("v")).distinct()
-    wanted = texts.join(needed, "doc_id", "left_semi")
-    both = (
-        near.join(wanted.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")), "v")
-        .join(wanted.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), "u")
-        .select("u", "v", "tu", "tv")
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) that the full sets confirm."""
+    near = pairs.join(sets.select(F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("shingles").alias("sv")), "v").join(
+        sets.select(F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("shingles").alias("su")), "u"
     )
-    return cut(both.mapInArrow(_confirm, "u long, v long").distinct())
+    near = near.where(F.lit(100) * F.least("nu", "nv") >= F.lit(PERCENT) * F.greatest("nu", "nv"))
+    common = F.size(F.array_intersect("su", "sv"))
+    return cut(near.where(F.lit(100) * common >= F.lit(PERCENT) * (F.col("nu") + F.col("nv") - common)).select("u", "v"))
 
 
 def _with_component(members: DataFrame, comps: DataFrame) -> DataFrame:
     return members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold more than one component."""
-    several = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    return members.join(several, "key", "left_semi")
-
+def _across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) of different components that may still be linked, by prefix filtering.
 
-def _across(hubs: DataFrame, members: DataFrame) -> DataFrame:
-    left = hubs.select("key", F.col("doc_id").alias("hub"), F.col("component").alias("hub_component"))
+    ``members``: (doc_id, component).  Shingles are put in order of their number
+    of documents, rarest first.  Two sets with an intersection of at least
+    a = ceil(P (n1 + n2) / (100 + P)) have a common shingle among the first
+    n1 - a + 1 of the one and the first n2 - a + 1 of the other.  A document far
+    from its group has that many shingles of its own and meets no one.
+    """
+    own = sets.join(members, "doc_id")
+    flat = own.select("doc_id", "component", "n", F.explode("shingles").alias("s"))
+    shared = flat.groupBy("s").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("df > 1")
+    ranked = flat.join(shared, "s").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s", (F.col("lo") != F.col("hi")).alias("mixed")))).alias("order"))
+    # Shingles of one document alone come first; they need no entry, but they take up places.
+    longest = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    alone = F.col("n") - F.size("order")
+    entries = (
+        ranked.where(alone < longest)
+        .select("doc_id", "component", "n", alone.alias("alone"), longest.alias("longest"), F.posexplode("order").alias("at", "x"))
+        .where("alone + at < longest AND x.mixed")
+        .select(F.col("x.s").alias("s"), "doc_id", "component", "n", (F.col("alone") + F.col("at") + 1).alias("place"))
+    )
+    entries = cut(entries)
+    counts = entries.groupBy("s", "component").agg(F.count("*").alias("m"))
+    largest = counts.groupBy("s").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("several")).where("several > 1").drop("several")
+    small = entries.join(largest, "s").where("component != largest").drop("largest")
+    left = small.select("s", *(F.col(c).alias(f"l_{c}") for c in ("doc_id", "component", "n", "place")))
+    need = F.ceil((F.col("n") + F.col("l_n")) * PERCENT / (100 + PERCENT))
     return (
-        members.join(left, "key")
-        .where("component != hub_component")
-        .select(F.least("hub", "doc_id").alias("u"), F.greatest("hub", "doc_id").alias("v"))
+        entries.join(left, "s")
+        .where((F.col("component") != F.col("l_component")) & (F.col("place") <= F.col("n") - need + 1) & (F.col("l_place") <= F.col("l_n") - need + 1))
+        .select(F.least("doc_id", "l_doc_id").alias("u"), F.greatest("doc_id", "l_doc_id").alias("v"))
         .distinct()
     )
 
@@ -161,31 +162,25 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     copies = cut(filled.select("doc_id", "d1", "d2", "n").join(classes.where("copies > 1"), ["d1", "d2", "n"]).select("doc_id", "rep").distinct())
     reps = filled.join(copies.where("doc_id != rep"), "doc_id", "left_anti")
-    sizes = reps.select("doc_id", "n").distinct()
 
-    keyed = reps.select("doc_id", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("m")).where("m > 1").select("key", "hub")
-    members = cut(keyed.join(hubs, "key"))
-    links = _links(members.where("doc_id != hub").select(F.col("hub").alias("u"), F.col("doc_id").alias("v")).distinct(), sizes, texts)
+    keyed = reps.select("doc_id", F.explode("keys").alias("key")).distinct()
+    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    members = cut(keyed.join(shared, "key"))
+    # A document in the middle of its group shares most buckets: each bucket's hub is the member that meets most others.
+    reach = members.groupBy("doc_id").agg(F.sum("m").alias("reach"))
+    hubs = members.join(reach, "doc_id").groupBy("key").agg(F.max(F.struct("reach", "doc_id")).alias("hub"))
+    best = members.join(hubs, "key").groupBy("doc_id").agg(F.max("hub").alias("hub")).select(F.col("hub.doc_id").alias("u"), F.col("doc_id").alias("v"))
+    sets = cut(texts.join(reach.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "doc_id long, n long, shingles array<long>").dropDuplicates(["doc_id"]))
+    links = _links(best.where("u != v"), sets)
     comps = cut(components(links))
 
-    tested = members.where("doc_id = hub").select("key", "doc_id")
-    one_each = _open(_with_component(members.select("key", "doc_id"), comps))
-    one_each = cut(one_each)
-    if not one_each.isEmpty():
-        chosen = one_each.join(tested, ["key", "doc_id"], "left_anti").groupBy("key", "component").agg(F.min("doc_id").alias("doc_id"))
-        more = _links(_across(chosen, one_each), sizes, texts)
+    placed = _with_component(members.select("key", "doc_id"), comps)
+    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
+    undecided = cut(placed.join(several, "key", "left_semi").select("doc_id", "component").distinct())
+    if not undecided.isEmpty():
+        more = _links(_across_components(undecided, sets), sets)
         if not more.isEmpty():
-            links = cut(links.union(more))
-            comps = cut(components(links))
-        rest = cut(_open(_with_component(one_each.select("key", "doc_id"), comps)))
-        done = tested.union(chosen.select("key", "doc_id"))
-        counts = rest.groupBy("key", "component").agg(F.count("*").alias("size"))
-        largest = counts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("component"))
-        others = rest.join(largest, ["key", "component"], "left_anti").join(done, ["key", "doc_id"], "left_anti")
-        last = _links(_across(others, rest), sizes, texts)
-        if not last.isEmpty():
-            comps = cut(components(links.union(last)))
+            comps = cut(components(links.union(more)))
 
     whole = copies.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("c"))
     alone = comps.join(copies.select(F.col("doc_id").alias("node")), "node", "left_anti").select(F.col("node").alias("doc_id"), F.col("component").alias("c"))

@@ -65,7 +65,7 @@ def apportion(weights: np.ndarray, seats: int, limits: np.ndarray) -> np.ndarray
     for _ in range(200):
         middle = (low * high) ** 0.5
         low, high = (middle, high) if dealt(middle).sum() > seats else (low, middle)
-    out = dealt(high)
+    out = dealt(high * (1 + 1e-9))  # a little above, so that equal quotients are left to the last step
     while out.sum() < seats:
         quotient = np.where(out < limits, weights / (2 * out + 1), -1.0)
         out[int(np.argmax(quotient))] += 1

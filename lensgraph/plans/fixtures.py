@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lensgraph.operators.graph import cut_lineage
+
 #: metric: (multiplier, offset, low, high, whole number)
 METRICS = {
     "mean_luma": (7919, 13, 70.0, 215.0, False),
@@ -129,7 +131,7 @@ def pairs(spark: SparkSession, sf_dir: str, top_k: int = 20) -> DataFrame:
     """Candidate pairs of images (image_a < image_b) with their evidence.
 
     Copies of a text are linked to the smallest image of that text.  Different
-    texts are candidates if they share one of their RARE rarest word trigrams;
+    texts are candidates if they share one of their RARE rarest word trigrams that any other text has;
     their similarity is the set cosine over all trigrams, and each image keeps
     its top_k neighbours.
     """
@@ -142,12 +144,13 @@ def pairs(spark: SparkSession, sf_dir: str, top_k: int = 20) -> DataFrame:
     grams = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))))
     reps = keyed.join(first.select(F.col("rep").alias("image_id")), "image_id", "left_semi").withColumn("w", words).where(F.size("w") >= 3)
     flat = reps.select("image_id", F.explode(grams).alias("g")).withColumn("n", F.count("*").over(Window.partitionBy("image_id")))
-    counted = flat.join(flat.groupBy("g").agg(F.count("*").alias("df")), "g")
-    rare = counted.withColumn("place", F.row_number().over(Window.partitionBy("image_id").orderBy("df", "g"))).where((F.col("place") <= RARE) & (F.col("df") > 1)).select("image_id", "g")
+    # Read four times below, and dear to make.
+    counted = cut_lineage(flat.join(flat.groupBy("g").agg(F.count("*").alias("df")), "g"))
+    rare = counted.where("df > 1").withColumn("place", F.row_number().over(Window.partitionBy("image_id").orderBy("df", "g"))).where(F.col("place") <= RARE).select("image_id", "g")
     wanted = rare.alias("x").join(rare.alias("y"), F.expr("x.g = y.g AND x.image_id < y.image_id")).select(F.col("x.image_id").alias("image_a"), F.col("y.image_id").alias("image_b")).distinct()
-    side = lambda s: flat.select(F.col("image_id").alias(f"image_{s}"), "g", F.col("n").alias(f"n_{s}"))
+    side = lambda s: counted.select(F.col("image_id").alias(f"image_{s}"), "g", F.col("n").alias(f"n_{s}"))
     shared = wanted.join(side("a"), "image_a").join(side("b"), ["image_b", "g"]).groupBy("image_a", "image_b", "n_a", "n_b").agg(F.count("*").alias("shared"))
-    scored = shared.select("image_a", "image_b", F.round(F.col("shared") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")), 6).alias("embedding_similarity"), F.round(F.col("shared") / F.least("n_a", "n_b"), 6).alias("feature_match_score"))
+    scored = shared.select("image_a", "image_b", F.round(F.col("shared") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")), 4).alias("embedding_similarity"), F.round(F.col("shared") / F.least("n_a", "n_b"), 4).alias("feature_match_score"))
     both = scored.select(F.col("image_a").alias("s"), F.col("image_b").alias("t"), "*").union(scored.select(F.col("image_b").alias("s"), F.col("image_a").alias("t"), "*"))
     near = both.withColumn("place", F.row_number().over(Window.partitionBy("s").orderBy(F.desc("embedding_similarity"), "t"))).where(F.col("place") <= top_k)
     kept = near.select("image_a", "image_b", "embedding_similarity", "feature_match_score").distinct()
@@ -160,9 +163,9 @@ reps AS (SELECT i.image_id, string_split(lower(d.text), ' ') AS w FROM images i
 flat0 AS (SELECT DISTINCT image_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT image_id, w, unnest(range(1, len(w) - 1)) AS i FROM reps WHERE len(w) >= 3)),
 flat AS (SELECT *, count(*) OVER (PARTITION BY image_id) AS n FROM flat0),
 dfs AS (SELECT g, count(*) AS df FROM flat GROUP BY g),
-rare AS (SELECT image_id, g FROM (SELECT image_id, g, df, row_number() OVER (PARTITION BY image_id ORDER BY df, g) AS place FROM flat JOIN dfs USING (g)) WHERE place <= {RARE} AND df > 1),
+rare AS (SELECT image_id, g FROM (SELECT image_id, g, df, row_number() OVER (PARTITION BY image_id ORDER BY df, g) AS place FROM flat JOIN dfs USING (g) WHERE df > 1) WHERE place <= {RARE}),
 wanted AS (SELECT DISTINCT x.image_id AS image_a, y.image_id AS image_b FROM rare x JOIN rare y ON x.g = y.g AND x.image_id < y.image_id),
 shared AS (SELECT image_a, image_b, a.n AS n_a, b.n AS n_b, count(*) AS shared FROM wanted JOIN flat a ON a.image_id = image_a JOIN flat b ON b.image_id = image_b AND b.g = a.g GROUP BY ALL),
-scored0 AS (SELECT image_a, image_b, round(shared / sqrt(n_a::DOUBLE * n_b), 6) AS embedding_similarity, round(shared / least(n_a, n_b), 6) AS feature_match_score FROM shared),
+scored0 AS (SELECT image_a, image_b, round(shared / sqrt(n_a::DOUBLE * n_b), 4) AS embedding_similarity, round(shared / least(n_a, n_b), 4) AS feature_match_score FROM shared),
 both0 AS (SELECT image_a AS s, image_b AS t, * FROM scored0 UNION ALL SELECT image_b, image_a, * FROM scored0),
 pairs AS (SELECT * FROM copies UNION ALL SELECT DISTINCT image_a, image_b, embedding_similarity, feature_match_score FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY embedding_similarity DESC, t) AS place FROM both0) WHERE place <= 20)"""

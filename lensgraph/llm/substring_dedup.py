@@ -1,7 +1,7 @@
-"""Removal of repeated passages by hashing lines cut into sentences.
+"""Removal of repeated passages by hashing lines cut into clauses.
 
-Units are the sentences of each line, as planted and quoted passages often begin
-inside a line.  A unit's digest covers the unit and the ones after it until
+Units are the clauses of each line, cut after ``.!?,;:``, as quoted passages often
+begin inside a line.  A unit's digest covers the unit and the ones after it until
 ``MIN_WORDS`` words are reached, so that a short unit counts only in its context
 and chance repeats stay.  Digests are of normalised words: A-Z lower-cased, white
 space collapsed.  The earliest occurrence by (doc_id, offset) of each digest
@@ -27,7 +27,7 @@ from lensgraph.llm.session import cut
 
 MIN_WORDS = 6
 _STOP = np.zeros(256, dtype=bool)
-_STOP[[33, 46, 63]] = True
+_STOP[[33, 44, 46, 58, 59, 63]] = True
 _U = np.uint64
 _ODD = 0xA0761D6478BD642F
 _ODD_INV = pow(_ODD, -1, 1 << 64)
@@ -44,7 +44,7 @@ def units(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         none = np.zeros(0, dtype=np.int64)
         return none, none, none, none.astype(np.uint64)
     hashes = words.hashes
-    # A word opens a unit after a line feed (texts are joined by one) or after a word that ends a sentence.
+    # A word opens a unit after a line feed (texts are joined by one) or after a word that ends a clause.
     feeds = np.concatenate(([0], np.cumsum(raw == 10)))
     opens = np.ones(len(starts), dtype=bool)
     opens[1:] = (feeds[starts[1:]] > feeds[ends[:-1]]) | _STOP[raw[ends[:-1] - 1]]

@@ -2,7 +2,7 @@
 
 Each line meets three rules: terminal punctuation (a line of several words that
 ends like a sentence, or is short enough to be a heading, passes), navigation
-(menus: separators between most words, or link words alone), and boilerplate
+(menus: separators between most words, or link words alone), symbol runs, and boilerplate
 (licence, cookie and copyright phrases).  Lines that fail go; a document that
 loses more than ``MAX_LOST`` of its word characters goes with them.
 """
@@ -59,7 +59,7 @@ def line_fails(line: bytes, n_words: int, n_symbols: int) -> bool:
     if not n_words:
         return False
     lowered = line.lower()
-    if _BOILERPLATE.search(lowered) or n_symbols * 2 > n_words + 2 or _NAVIGATION.fullmatch(lowered):
+    if _BOILERPLATE.search(lowered) or n_symbols * 4 > n_words + 4 or _NAVIGATION.fullmatch(lowered):
         return True
     return n_words >= LONG_LINE and not _SENTENCE.search(line) or len(_SHOUT.findall(line)) * 2 > n_words > 3
 

@@ -131,8 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column) -> Model:
     place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30))
     sample = usable.where(place < int(min(1.0, TRAIN_ROWS / max(1, n)) * (1 << 30)))
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(_collect, "label int, index array<int>, value array<float>").toArrow()
-    columns = zip(found["label"].to_pylist(), found["index"].to_pylist(), found["value"].to_pylist(), strict=True)
-    rows = [(int(y > 0), np.array(i, dtype=np.int64), np.array(x, dtype=np.float32)) for y, i, x in columns]
+    columns = zip(found["label"].to_pylist(), textnp.lists(found["index"]), textnp.lists(found["value"]), strict=True) if found.num_rows else ()
+    rows = [(int(y > 0), i, x) for y, i, x in columns]
     rows.sort(key=lambda r: (textnp.mix_int(int(r[1].sum())), float(r[2].sum()), r[0]))
     return fit(rows)
 

@@ -1,6 +1,6 @@
 """Line-first document cleaning.
 
-Each line meets three rules: terminal punctuation (a line of several words that
+Each line meets these rules: terminal punctuation (a line of several words that
 ends like a sentence, or is short enough to be a heading, passes), navigation
 (menus: separators between most words, or link words alone), symbol runs, and boilerplate
 (licence, cookie and copyright phrases).  Lines that fail go; a document that

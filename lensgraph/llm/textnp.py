@@ -117,3 +117,11 @@ def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
         held += size
     if at < len(values):
         yield at, len(values), values[at:]
+
+
+def lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as views of one array, without a Python object for each value."""
+    whole = column.combine_chunks()
+    whole = pa.concat_arrays(whole.chunks) if isinstance(whole, pa.ChunkedArray) else whole
+    offsets, values = whole.offsets.to_numpy(), whole.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]

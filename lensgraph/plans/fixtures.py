@@ -142,14 +142,17 @@ def pairs(spark: SparkSession, sf_dir: str, top_k: int = 20) -> DataFrame:
     copies = keyed.join(first, "image_hash").where("image_id != rep").select(F.col("rep").alias("image_a"), F.col("image_id").alias("image_b"), F.lit(1.0).alias("embedding_similarity"), F.lit(1.0).alias("feature_match_score"))
     words = F.split(F.lower("text"), " ")
     grams = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))))
-    reps = keyed.join(first.select(F.col("rep").alias("image_id")), "image_id", "left_semi").withColumn("w", words).where(F.size("w") >= 3)
+    reps = keyed.join(first.select(F.col("rep").alias("image_id")), "image_id", "left_semi")
+    # By image, as all that follows needs it; in so many parts even if the table is one small file.
+    reps = reps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "image_id").withColumn("w", words).where(F.size("w") >= 3)
     flat = reps.select("image_id", F.explode(grams).alias("g")).withColumn("n", F.count("*").over(Window.partitionBy("image_id")))
-    # Read four times below, and dear to make.
+    # Read more than once below, and dear to make.
     counted = cut_lineage(flat.join(flat.groupBy("g").agg(F.count("*").alias("df")), "g"))
     rare = counted.where("df > 1").withColumn("place", F.row_number().over(Window.partitionBy("image_id").orderBy("df", "g"))).where(F.col("place") <= RARE).select("image_id", "g")
     wanted = rare.alias("x").join(rare.alias("y"), F.expr("x.g = y.g AND x.image_id < y.image_id")).select(F.col("x.image_id").alias("image_a"), F.col("y.image_id").alias("image_b")).distinct()
-    side = lambda s: counted.select(F.col("image_id").alias(f"image_{s}"), "g", F.col("n").alias(f"n_{s}"))
-    shared = wanted.join(side("a"), "image_a").join(side("b"), ["image_b", "g"]).groupBy("image_a", "image_b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+    sets = cut_lineage(reps.select("image_id", grams.alias("grams")).select("image_id", F.transform("grams", lambda x: F.xxhash64(x)).alias("set")))
+    side = lambda s: sets.select(F.col("image_id").alias(f"image_{s}"), F.col("set").alias(f"set_{s}"))
+    shared = wanted.join(side("a"), "image_a").join(side("b"), "image_b").select("image_a", "image_b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
     scored = shared.select("image_a", "image_b", F.round(F.col("shared") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")), 4).alias("embedding_similarity"), F.round(F.col("shared") / F.least("n_a", "n_b"), 4).alias("feature_match_score"))
     both = scored.select(F.col("image_a").alias("s"), F.col("image_b").alias("t"), "*").union(scored.select(F.col("image_b").alias("s"), F.col("image_a").alias("t"), "*"))
     near = both.withColumn("place", F.row_number().over(Window.partitionBy("s").orderBy(F.desc("embedding_similarity"), "t"))).where(F.col("place") <= top_k)

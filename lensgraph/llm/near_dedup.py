@@ -197,3 +197,18 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: st
     """The rows of ``docs`` that are kept; a row repeated under one id stays repeated."""
     gone = near_duplicates(docs, id_column, text_column).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs[id_column].cast("long") == F.col("__gone"), "left_anti")
+
+
+#: DuckDB SQL for op4: every pair of documents that share a shingle, then the transitive closure of the links.
+ORACLE = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {SHINGLE_WORDS - 1}), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE_WORDS - 1}, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= {PERCENT} * (x.n + y.n - c)),
+sym AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+reach AS (SELECT u AS s, u AS t FROM sym UNION SELECT s, v FROM reach JOIN sym ON t = u),
+comp AS (SELECT s, min(t) AS c FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c, w.doc_id) AS component_id, coalesce(c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON s = w.doc_id
+"""

@@ -68,5 +68,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_benchmark_decontamination": decontaminate.ORACLE,
+    "op4_minhash_near_dedup": near_dedup.ORACLE,
     "op9_chat_format": chat_format.ORACLE,
 }

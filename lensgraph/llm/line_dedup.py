@@ -9,6 +9,9 @@ next to them.  Chunks of one line are left alone.
 2. Documents that hold a repeated digest give up the bytes of those chunks, and
    grouping by digest and bytes is the byte comparison.
 3. The occurrence of smallest (document id, line) stays, all others go.
+
+Step 2 and the rewriting need the texts by document; they are in one plan, so
+that the planner shuffles the texts once and reuses that exchange.
 """
 
 from __future__ import annotations
@@ -68,7 +71,6 @@ def _removals(base: DataFrame) -> DataFrame:
         .select("__id", "__th", "c.*")
         .distinct()
     )
-    held = cut(held)
     kept = held.groupBy("digest", "content").agg(F.min(F.struct("__id", "first", "__th")).alias("keep"), F.count("*").alias("m")).where("m > 1").drop("m")
     return (
         held.join(kept, ["digest", "content"])

@@ -33,7 +33,3 @@ def id_remainder(column: str, modulus: int):
     """crc32 of the id written as text, modulo ``modulus``."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
-
-def spread(df: DataFrame, mb_each: int = 4) -> DataFrame:
-    """Unchanged unless the scan yields fewer partitions than there are cores."""
-    return df

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from lensgraph.llm import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, pitman_yor, quality_fm, quality_rules, queries, substring_dedup, textnp
+from lensgraph.llm import chat_format, components, decontaminate, language_id, line_dedup, mixing, near_dedup, pitman_yor, quality_fm, quality_rules, queries, substring_dedup, textnp
 from lensgraph.llm.session import id_remainder
 from tests.llm import brute
 from tests.llm.conftest import make
@@ -56,6 +56,27 @@ def test_near_duplicates_of_odd_rows(spark, odd_rows):
     assert kept.columns == make(spark, odd_rows).columns and 5 not in {r[0] for r in _rows(kept, "doc_id")}
 
 
+@pytest.mark.parametrize("limit", [components.ONE_TASK, 0])
+def test_components(spark, monkeypatch, limit):
+    monkeypatch.setattr(components, "ONE_TASK", limit)
+    rng = random.Random(2)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1040)] + [(5000, i) for i in range(4000, 4100)]
+    parent = {}
+
+    def root(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    for a, b in pairs:
+        if a != b:
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    found = components.components(spark.createDataFrame([*pairs, (None, 4)], "u long, v long"))
+    assert sorted(_rows(found, "node", "component")) == sorted((i, root(i)) for i in list(parent))
+    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
 # Decontamination
 
 

@@ -26,6 +26,8 @@ from lensgraph.llm import textnp
 from lensgraph.llm.session import cut
 
 MIN_WORDS = 6
+#: Rows that are rewritten at a time.
+CLEANED_ROWS = 512
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[33, 44, 46, 58, 59, 63]] = True
 _U = np.uint64
@@ -99,7 +101,7 @@ def rewrite(text: bytes, spans: list[tuple[int, int]]) -> tuple[str, list[list[i
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, CLEANED_ROWS) for b in batches for at in range(0, b.num_rows, CLEANED_ROWS)):
         ids, spans = batch.column(0), batch.column(2).to_pylist()
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         out: list[tuple] = []

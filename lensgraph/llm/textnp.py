@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 19
 _U = np.uint64
@@ -107,16 +108,15 @@ def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes | None]]]:
     """(first row, last row + 1, texts) of runs of rows of about ``limit`` bytes; a longer text stands alone."""
-    values = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
+    column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
     at, held = 0, 0
-    for i, value in enumerate(values):
-        size = len(value or b"")
+    for i, size in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
         if i > at and held + size > limit:
-            yield at, i, values[at:i]
+            yield at, i, column.slice(at, i - at).to_pylist()
             at, held = i, 0
         held += size
-    if at < len(values):
-        yield at, len(values), values[at:]
+    if at < len(column):
+        yield at, len(column), column.slice(at).to_pylist()
 
 
 def lists(column: pa.ChunkedArray) -> list[np.ndarray]:

@@ -1,14 +1,16 @@
-"""Removal of multi-line chunks that the corpus holds more than once, in DataFrame operations only.
+"""Removal of runs of two or more lines that the corpus holds more than once, in DataFrame operations only.
 
-Chunk borders are defined by content: a line ends its chunk if the rolling hash
-over the hashes of the last ``ROLL`` lines is 0 modulo ``DIVISOR``.  A border
-depends on those lines alone, so lines put in or taken out move only the chunks
-next to them.  Chunks of one line are left alone.
+A run repeats exactly if each two neighbouring lines of it do, so the unit is
+the *pair*: a line and the one after it.  There are no chunk borders that a
+short run could miss.  Pairs overlap, and the lines of a document's repeated
+pairs make up its repeated runs from their first to their last line.  A line
+that repeats without either neighbour is left alone.
 
-1. Chunk digests are counted globally (map-side combined).
-2. Documents that hold a repeated digest give up the bytes of those chunks, and
+1. Pair digests are counted globally (map-side combined).
+2. Documents that hold a repeated digest give up the bytes of those pairs, and
    grouping by digest and bytes is the byte comparison.
-3. The occurrence of smallest (document id, line) stays, all others go.
+3. The occurrence of smallest (document id, line) stays; the lines of all others
+   go.  The first occurrence of a line in the corpus always stays.
 
 Step 2 and the rewriting need the texts by document; they are in one plan, so
 that the planner shuffles the texts once and reuses that exchange.
@@ -22,35 +24,23 @@ from pyspark.sql import functions as F
 from lensgraph.llm.decontaminate import bind
 from lensgraph.llm.session import cut
 
-ROLL = 2
-DIVISOR = 3
-MIN_LINES = 2
-
 
 def _lines(text: str) -> Column:
     return F.coalesce(F.split(F.col(text), "\n"), F.array().cast("array<string>"))
 
 
-def _chunks(lines: Column) -> Column:
-    """(first line, number of lines) of each chunk, lines counted from 1."""
-
-    def border(h: Column, i: Column) -> Column:
-        back = [F.coalesce(F.get(h, i - j - 1), F.lit(0).cast("bigint")) for j in range(ROLL)]
-        return F.pmod(F.xxhash64(*back), F.lit(DIVISOR)) == 0
-
-    def ends(h: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(1), F.size(h)), lambda i: border(h, i) | (i == F.size(h)))
-        return F.when(F.size(h) > 0, at).otherwise(F.array().cast("array<int>"))
+def _pairs(lines: Column) -> Column:
+    """(first line, digest) of each two neighbouring lines, lines counted from 1."""
 
-    def spans(e: Column) -> Column:
-        before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(e, i - 1))
-        return F.transform(e, lambda x, i: F.struct((before(i) + 1).alias("first"), (x - before(i)).alias("n")))
+    def digests(h: Column) -> Column:
+        at = F.when(F.size(h) > 1, F.sequence(F.lit(1), F.size(h) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(i.alias("first"), F.xxhash64(F.get(h, i - 1), F.get(h, i)).alias("digest")))
 
-    return bind(bind(F.transform(lines, lambda x: F.xxhash64(x)), ends), spans)
+    return bind(F.transform(lines, lambda x: F.xxhash64(x)), digests)
 
 
-def _content(lines: Column, chunk: Column) -> Column:
-    return F.array_join(F.slice(lines, chunk["first"], chunk["n"]), "\n")
+def _content(lines: Column, first: Column) -> Column:
+    return F.array_join(F.slice(lines, first, 2), "\n")
 
 
 def _same(other: str) -> Column:
@@ -58,16 +48,15 @@ def _same(other: str) -> Column:
 
 
 def _removals(base: DataFrame) -> DataFrame:
-    """(__id, __th, chunks, lines, gone): what the documents that lose lines lose; ``base`` has __id, __th and __text."""
+    """(__id, __th, gone): the lines that documents lose, in order; ``base`` has __id, __th and __text."""
     texts = base.select("__id", "__th", "__text")
-    cutting = bind(_lines("__text"), lambda w: F.transform(F.filter(_chunks(w), lambda c: c["n"] >= MIN_LINES), lambda c: F.struct(c["first"].alias("first"), c["n"].alias("n"), F.xxhash64(_content(w, c)).alias("digest"))))
-    chunks = cut(texts.select("__id", "__th", F.explode(cutting).alias("c")).select("__id", "__th", "c.*"))
-    repeated = chunks.groupBy("digest").agg(F.count("*").alias("m")).where("m > 1").select("digest")
-    wanted = chunks.join(repeated, "digest", "left_semi").groupBy("__id", "__th").agg(F.collect_set(F.struct("first", "n", "digest")).alias("wanted"))
+    pairs = cut(texts.select("__id", "__th", F.explode(_pairs(_lines("__text"))).alias("c")).select("__id", "__th", "c.*"))
+    repeated = pairs.groupBy("digest").agg(F.count("*").alias("m")).where("m > 1").select("digest")
+    wanted = pairs.join(repeated, "digest", "left_semi").groupBy("__id", "__th").agg(F.collect_set(F.struct("first", "digest")).alias("wanted"))
     held = (
         texts.alias("d")
         .join(wanted.alias("w"), _same("w"))
-        .select("d.__id", "d.__th", F.explode(bind(_lines("d.__text"), lambda x: F.transform("w.wanted", lambda c: F.struct(c["digest"].alias("digest"), c["first"].alias("first"), c["n"].alias("n"), _content(x, c).alias("content"))))).alias("c"))
+        .select("d.__id", "d.__th", F.explode(bind(_lines("d.__text"), lambda x: F.transform("w.wanted", lambda c: F.struct(c["digest"].alias("digest"), c["first"].alias("first"), _content(x, c["first"]).alias("content"))))).alias("c"))
         .select("__id", "__th", "c.*")
         .distinct()
     )
@@ -76,38 +65,40 @@ def _removals(base: DataFrame) -> DataFrame:
         held.join(kept, ["digest", "content"])
         .where(~F.struct("__id", "first", "__th").eqNullSafe(F.col("keep")))
         .groupBy("__id", "__th")
-        .agg(F.count("*").alias("chunks"), F.sum("n").alias("lines"), F.flatten(F.collect_list(F.sequence("first", F.col("first") + F.col("n") - 1))).alias("gone"))
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(F.col("first"), F.col("first") + 1))))).alias("gone"))
     )
 
 
 def _clean_text() -> Column:
-    rest = lambda x: F.array_join(F.filter(x, lambda line, i: ~F.array_contains(F.col("g.gone"), i + 1)), "\n")
+    # Set operations on positions, as they take linear time.
+    rest = lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(1), F.size(x)), F.col("g.gone")), lambda i: F.get(x, i - 1)), "\n")
     return F.when(F.col("g.gone").isNull(), F.col("d.__text")).otherwise(bind(_lines("d.__text"), rest))
 
 
 def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_chunks_removed, n_lines_removed, clean_text) for each row of ``docs``.
 
-    Null text: no lines, null clean text.  Rows that repeat id and text are one
+    A chunk is a maximal run of removed lines.  Null text: no lines, null clean text.  Rows that repeat id and text are one
     occurrence, so all of them lose what one of them loses; a null id ranks
     first.  Ties in rank cannot occur otherwise.  Other columns are not looked at.
     """
     base = docs.select(F.col(id_column).alias("__id"), F.xxhash64(text_column).alias("__th"), F.col(text_column).alias("__text"))
+    gone = F.coalesce("g.gone", F.array().cast("array<int>"))
     return (
         base.alias("d")
         .join(_removals(base).alias("g"), _same("g"), "left")
         .select(
             F.col("d.__id").alias("doc_id"),
             F.size(_lines("d.__text")).cast("long").alias("n_lines"),
-            F.coalesce("g.chunks", F.lit(0)).cast("long").alias("n_chunks_removed"),
-            F.coalesce("g.lines", F.lit(0)).cast("long").alias("n_lines_removed"),
+            F.size(F.array_except(gone, F.transform(gone, lambda i: i + 1))).cast("long").alias("n_chunks_removed"),
+            F.size(gone).cast("long").alias("n_lines_removed"),
             _clean_text().alias("clean_text"),
         )
     )
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, n_chars and any others) without their repeated chunks.
+    """The rows of ``docs`` (doc_id, text, n_chars and any others) without their repeated runs of lines.
 
     Texts and n_chars follow what is left; rows that lose lines and keep none with a word go.
     """

@@ -139,6 +139,24 @@ def test_line_dedup_of_odd_rows(spark, odd_rows):
     assert left[1] == ("x y\nz w\nq r", 11) and all(n == len(t) for t, n in left.values())
 
 
+def test_line_dedup_removes_every_repeated_run(spark):
+    """Runs of two or three lines anywhere, copies of two-line documents, and lone lines that repeat, against a plain version."""
+    rng = random.Random(4)
+    line = lambda: " ".join(str(rng.randrange(10**6)) for _ in range(4))
+    runs, lone = [[line() for _ in range(n)] for n in (2, 2, 3, 3)], line()
+    docs = [[x for part in rng.sample([*runs, [lone], [line()], [line()]], 4) for x in [*part, line()]] for _ in range(30)] + [runs[0], runs[0], ["a", "a", "a"]]
+    first, gone = {}, [set() for _ in docs]
+    for d, lines in enumerate(docs):
+        for i, pair in enumerate(zip(lines, lines[1:], strict=False)):
+            if first.setdefault(pair, (d, i)) != (d, i):
+                gone[d] |= {i, i + 1}
+    got = {r[0]: r[1:] for r in _rows(line_dedup.line_dedup(make(spark, [(d, "\n".join(x), "en", "a") for d, x in enumerate(docs)])), "doc_id", "n_chunks_removed", "n_lines_removed", "clean_text")}
+    for d, lines in enumerate(docs):
+        assert got[d] == (sum(i - 1 not in gone[d] for i in gone[d]), len(gone[d]), "\n".join(x for i, x in enumerate(lines) if i not in gone[d]))
+    assert sum(got[d][2].split("\n").count(lone) for d in got) == sum(x.count(lone) for x in docs) > 1
+    assert all(sum(x in got[d][2].split("\n") for d in got) == 1 for run in runs for x in run)
+
+
 def test_substring_dedup_equals_brute_force(spark, vocabulary):
     rng = random.Random(12)
     sentence = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 12))) + rng.choice(".!?")

@@ -1,9 +1,9 @@
 """Line-first document cleaning.
 
-Each line meets these rules: terminal punctuation (a line of several words that
-ends like a sentence, or is short enough to be a heading, passes), navigation
-(menus: separators between most words, or link words alone), symbol runs, and boilerplate
-(licence, cookie and copyright phrases).  Lines that fail go; a document that
+Each line meets these rules: terminal punctuation (a line that ends like a
+sentence, or has fewer than ``HEADING_WORDS`` words, passes), navigation (menus:
+separators in most gaps between words, or link words alone), symbol runs, shouting, and
+boilerplate (licence, cookie, copyright and other phrases).  Lines that fail go; a document that
 loses more than ``MAX_LOST`` of its word characters goes with them.
 """
 
@@ -24,8 +24,10 @@ MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 #: A document is rejected if its failed lines hold more than this share of its word characters.
 MAX_LOST = 0.5
-#: A line of at least this many words has to hold some sentence punctuation.
-LONG_LINE = 40
+#: A line of at least this many words has to end like a sentence.
+HEADING_WORDS = 10
+#: A menu has separators in at least so many gaps between its words, and in more than half of them.
+MENU_GAPS = 2
 
 # Phrases that mark a line as boilerplate or as navigation.
 BOILERPLATE = (
@@ -40,13 +42,29 @@ BOILERPLATE = (
     "subscribe to our newsletter",
     "terms of service",
     "terms of use",
+    "this site uses cookies",
+    "this website uses cookies",
+    "we use cookies",
 )
 NAVIGATION_WORDS = ("home", "about", "contact", "login", "menu", "search", "next", "previous", "share", "sitemap")
+#: The phrase has to name a licence, as prose also speaks of what is released or available under something.
+LICENCES = (
+    r"\b(?:licen[cs]ed|released|distributed|published|available) under\b.{0,80}?\b(?:licen[cs]es?\b|cc[ -]?(?:by|0)\b|creative commons\b)",
+    r"\bspdx-license-identifier\b",
+    r"\bcopyright\s*(?:\(c\)|©|[12]\d{3}\b)",
+    r"(?:\(c\)|©)\s*(?:copyright\b|[12]\d{3}\b)",
+)
+SEPARATORS = ("|", "||", "/", "//", ">", ">>", "::", "\u00b7", "\u00bb", "\u2022", "\u203a")
 # End of the fixed values.
 
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)).encode())
+_LICENCE = re.compile("|".join(LICENCES).encode())
+#: Each licence pattern needs one of these, which are quicker to look for.
+_LICENCE_KEYS = tuple(x.encode() for x in ("under", "spdx-", "copyright", "(c)", "©"))
+_SEPARATORS = frozenset(x.encode() for x in SEPARATORS)
 _NAVIGATION = re.compile(rb"(?:\s*[|>/\xc2\xbb\xb7-]*\s*\b(?:" + "|".join(NAVIGATION_WORDS).encode() + rb")\b)+\s*[|>-]*\s*")
-_SENTENCE = re.compile(rb"[.!?;:,]|\xe2\x80\xa6|\xe3\x80\x82")
+#: Terminal punctuation at the end, with quotes, brackets and white space behind it.
+_SENTENCE_END = re.compile("(?:[.!?:;]|\u2026|\u3002|\uff01|\uff1f|\u061f|\u06d4|\u0964)(?:[\"')\\]\\s*_]|\u00bb|\u00ab|\u2019|\u201c|\u201d|\u203a|\u300d|\u00a0)*$".encode())
 _SHOUT = re.compile(rb"!!")
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -54,14 +72,27 @@ _FIELDS = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.in
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, n_lines long, n_failed_lines long, clean_text string"
 
 
+def has_licence(lowered: bytes) -> bool:
+    return any(x in lowered for x in _LICENCE_KEYS) and _LICENCE.search(lowered) is not None
+
+
+def is_menu(words: list[bytes]) -> bool:
+    """Whether separators stand in most gaps between the other words."""
+    if _SEPARATORS.isdisjoint(words):
+        return False
+    items = [i for i, w in enumerate(words) if w not in _SEPARATORS]
+    parted = sum(b - a > 1 for a, b in zip(items, items[1:], strict=False))
+    return parted >= MENU_GAPS and 2 * parted > len(items) - 1
+
+
 def line_fails(line: bytes, n_words: int, n_symbols: int) -> bool:
     """The verdict on one line; lines without a word pass."""
     if not n_words:
         return False
     lowered = line.lower()
-    if _BOILERPLATE.search(lowered) or n_symbols * 4 > n_words + 4 or _NAVIGATION.fullmatch(lowered):
+    if _BOILERPLATE.search(lowered) or has_licence(lowered) or n_symbols * 4 > n_words + 4 or _NAVIGATION.fullmatch(lowered) or is_menu(line.split()):
         return True
-    return n_words >= LONG_LINE and not _SENTENCE.search(line) or len(_SHOUT.findall(line)) * 2 > n_words > 3
+    return n_words >= HEADING_WORDS and not _SENTENCE_END.search(line.rstrip()[-32:]) or len(_SHOUT.findall(line)) * 2 > n_words > 3
 
 
 def repeated_words(hashes: np.ndarray) -> int:

@@ -205,6 +205,20 @@ def test_line_rules():
     assert not fails("This is a sentence.") and not fails("") and not fails("A heading") and fails("w " * 45)
 
 
+def test_line_rules_for_licences_menus_and_line_ends():
+    fails = lambda s: quality_rules.line_fails(s.encode(), len(s.split()), sum(c in "#*$%&|<>" for c in s))
+    for s in ("Licensed under CC BY-NC 4.0.", "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.", "Copyright 2020 Someone.", "© 2019 A Firm", "We use cookies to serve you."):
+        assert fails(s), s
+    for s in ("They were released under a treaty.", "She lost her driving licence.", "The copyright lies with the author.", "The hotel room was available under another name."):
+        assert not fails(s), s
+    assert fails("Products / Services / Blog / Careers") and fails("Shop » Shoes » Boots » Sale")
+    assert not fails("Men and / or women may apply.") and not fails("> > I agree.") and not fails("km / h")
+    prose = "one two three four five six seven eight nine, ten"
+    assert fails(prose) and fails(prose + ",") and not fails("one two three four five six")
+    for end in (".", "!", "?", "…", ":", '."', ".”", ".)", ". \r", "。"):
+        assert not fails(prose + end), end
+
+
 # Mixing
 
 

@@ -2,12 +2,13 @@
 
 Subwords are the byte n-grams of a word with its borders, hashed to ``BUCKETS``
 embeddings.  A text is the mean of its embeddings, and a softmax over that mean
-is trained by stochastic gradient descent in numpy, on at most ``ROWS_PER_LANG``
-labelled rows of each language (all of a rarer one), which bounds what the driver
-gets.  Embedding and output layer are both linear, so predicting adds up one
+is trained by stochastic gradient descent in numpy, on about ``ROWS_PER_LANG``
+labelled rows of each language (all of a rarer one), or fewer so that all languages
+together have about ``SAMPLE_ROWS``, which bounds what the driver gets.  Every
+language is learned; more than ``MAX_LANGS`` are an error.  Embedding and output layer are both linear, so predicting adds up one
 precomputed row of logits for each subword of the whole text.
 
-A fifth of those rows is not trained on: it fits the softmax's temperature and
+A fifth of those rows, never a language's first, is not trained on: it fits the softmax's temperature and
 the rejection threshold, the largest one up to ``MAX_THRESHOLD`` that loses at
 most ``MAX_LOSS`` of the right predictions.
 """
@@ -34,7 +35,9 @@ EPOCHS = 5
 LEAST_STEPS = 6000
 RATE = 0.5
 ROWS_PER_LANG = 500
-MAX_LANGS = 200
+SAMPLE_ROWS = 100_000
+#: A language's logits take 128 KB of the model.
+MAX_LANGS = 2000
 MAX_LOSS = 0.001
 MAX_THRESHOLD = 0.5
 SEED = 77
@@ -115,8 +118,9 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -> Mod
     rng = np.random.default_rng(seed)
     label = {name: i for i, name in enumerate(langs)}
     data = [(label[name], idx, (c / c.sum()).astype(np.float32)) for name, idx, c in rows]
-    held = [d for i, d in enumerate(data) if i % 5 == 4]
-    train = [d for i, d in enumerate(data) if i % 5 != 4] or data
+    first = {y: i for i, (y, _, _) in reversed(list(enumerate(data)))}
+    held = [d for i, d in enumerate(data) if i % 5 == 4 and first[d[0]] != i]
+    train = [d for i, d in enumerate(data) if i % 5 != 4 or first[d[0]] == i]
     embed = rng.uniform(-1, 1, (BUCKETS, DIMENSION)).astype(np.float32) / DIMENSION
     out = np.zeros((DIMENSION, len(langs)), dtype=np.float32)
     bias = np.zeros(len(langs), dtype=np.float32)
@@ -163,14 +167,18 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -> Mod
 def train(docs: DataFrame, learnable: Column, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model | None:
     """Fits on a sample of the ``learnable`` rows, drawn by hash of the id and bounded for each language."""
     known = docs.where(learnable & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
-    counts = known.groupBy(F.col(lang_column).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    place = F.pmod(F.xxhash64(F.lit(SEED), F.col(id_column)), F.lit(1 << 30))
+    # The least place of a row with a letter, so that each language has one row at least.
+    least = F.min(F.when(F.col(text_column).rlike(r"\p{L}"), place))
+    counts = known.groupBy(F.col(lang_column).alias("lang")).agg(F.count("*").alias("n"), F.coalesce(least, F.lit(-1)).alias("least")).limit(MAX_LANGS + 1).collect()
     if not counts:
         return None
-    place = F.pmod(F.xxhash64(F.lit(SEED), F.col(id_column)), F.lit(1 << 30))
-    limit = F.lit(0)
-    for name, n in counts:
-        limit = F.when(F.col(lang_column) == name, F.lit(int(min(1.0, ROWS_PER_LANG / n) * (1 << 30)))).otherwise(limit)
-    sample = known.where(place < limit).select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages in {lang_column}, which one model cannot hold")
+    each = min(ROWS_PER_LANG, SAMPLE_ROWS // len(counts))
+    limits = [(r["lang"], max(int(min(1.0, each / r["n"]) * (1 << 30)), r["least"] + 1)) for r in counts]
+    upto = docs.sparkSession.createDataFrame(limits, "__lang string, __upto long")
+    sample = known.join(F.broadcast(upto), F.col(lang_column) == F.col("__lang")).where(place < F.col("__upto")).select(F.col("__lang").alias("lang"), F.col(text_column).alias("text"))
     found = sample.mapInArrow(_count, "lang string, buckets array<int>, counts array<int>").toArrow()
     if not found.num_rows:
         return None

@@ -367,6 +367,16 @@ def test_language_of_odd_rows(spark, odd_rows):
     assert kept.columns == docs.columns and not {1, 2, 3, 9} & {r[0] for r in _rows(kept, "doc_id")}
 
 
+def test_every_language_is_learned(spark, vocabulary, monkeypatch):
+    """230 languages of one row, and one of many; too many for a model are an error."""
+    rows = [(i, f"{vocabulary[i]} {vocabulary[i + 500]}", f"l{i:03d}", "a") for i in range(230)] + [(1000 + i, " ".join(vocabulary[i : i + 9]), "en", "a") for i in range(200)]
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 400, raising=False)
+    assert set(language_id.train(make(spark, rows), id_remainder("doc_id", 4) < 4).langs) == {r[2] for r in rows}
+    monkeypatch.setattr(language_id, "MAX_LANGS", 230)
+    with pytest.raises(ValueError, match="more than 230 languages"):
+        language_id.train(make(spark, rows), id_remainder("doc_id", 4) < 4)
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op8_quality_classifier(spark, sf).toPandas()

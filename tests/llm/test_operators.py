@@ -472,3 +472,18 @@ def test_words_and_shingles(odd_rows):
         for h, w in zip(words.hashes[words.bounds[i] : words.bounds[i + 1]].tolist(), brute.words(r[1]), strict=True):
             assert named.setdefault(h, w) == w
     assert len(named) == len(set(named.values()))
+
+
+def test_formatted_conversations_read_back_as_their_digests(spark):
+    """The whole texts of a fixture and of the control conversation, with their loss spans, against the query."""
+    log = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    log = log.unionByName(spark.createDataFrame(chat_format.CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string"))
+    sha = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
+    got = set()
+    for conv, text, spans in _rows(chat_format.formatted(log), "conv_id", "formatted", "loss_spans"):
+        turns = list(chat_format.read_back(text))
+        assert [list(m) for _, _, m in turns if m] == [list(s) for s in spans]
+        masked = "".join(chat_format.unescape(text[a:b]) for a, b in spans)
+        got.add((conv, len(turns), sha("".join(f"{r}\n{x}\n" for r, x, _ in turns)), len(masked), sha(masked), len(text)))
+    names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    assert got == set(_rows(queries.op9_chat_format(spark, SMALL), *names)) and -7 in {r[0] for r in got} and len(got) > 1

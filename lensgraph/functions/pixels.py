@@ -131,17 +131,17 @@ def metrics(rgb: np.ndarray) -> dict[str, float | int]:
     seen = grey[ok] if ok.any() else grey.ravel()
     share = lambda m: round(float((m & ok).mean()), 6)
     out: dict[str, float | int] = {
-        "mean_luma": round(float(seen.mean()), 4),
-        "std_luma": round(float(seen.std()), 4),
+        "mean_luma": round(float(seen.mean()), 3),
+        "std_luma": round(float(seen.std()), 3),
         "clip_gelap": round(float((seen <= 8).mean()), 6),
         "clip_terang": round(float((seen >= 247).mean()), 6),
-        "edge_mean": round(float(inner.mean()), 4),
-        "edge_std": round(float(inner.std()), 4),
+        "edge_mean": round(float(inner.mean()), 3),
+        "edge_std": round(float(inner.std()), 3),
         "dark_ratio": share(grey < 85),
         "sky_ratio": share((b > r + 20) & (b >= g) & (b > 100)),
         "vegetasi_ratio": share((g > r + 12) & (g > b + 8) & (grey < 145)),
         "candidate_ratio": share(candidate),
-        "chroma_std": round(float((r - g).std() + (g - b).std()), 4),
+        "chroma_std": round(float((r - g).std() + (g - b).std()), 3),
         "thumb_w": small.shape[1],
         "thumb_h": small.shape[0],
     }

@@ -14,10 +14,17 @@ from lensgraph.functions.scalars import quality_score
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder named by spark.checkpoint.dir; tests without one get a folder of their own."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    """A reliable checkpoint in the shared folder named by spark.checkpoint.dir.
+
+    A folder of our own is made in local mode alone, where driver and executors
+    are one machine; on a cluster a missing setting is an error.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a shared folder")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint(eager=True)
 
 

@@ -115,13 +115,19 @@ def classify(metrics: DataFrame, thresholds: Thresholds = Thresholds()) -> DataF
     )
 
 
-OUTPUT = (
-    "ultg nama_file path_rel kode nama_keputusan prioritas confidence perlu_review_manual alasan status_baca format lebar tinggi ukuran_byte"
-    " mean_luma std_luma clip_gelap clip_terang edge_mean dark_ratio sky_ratio vegetasi_ratio comp_long green_long chroma_std error"
-).split()
+# The result's columns in order.
+OUTPUT = [
+    "ultg", "nama_file", "path_rel", "kode", "nama_keputusan", "prioritas",
+    "confidence", "perlu_review_manual", "alasan", "lebar", "tinggi", "ukuran_byte",
+    "mean_luma", "clip_gelap", "clip_terang", "edge_mean", "dark_ratio", "sky_ratio",
+    "vegetasi_ratio", "green_long", "green_short", "green_touch", "comp_long", "comp_short",
+    "chroma_std", "status_baca",
+]
+# End of the fixed values.
 
 
 def result_table(metrics: DataFrame) -> DataFrame:
     """The 26 ordered output columns; a metric that the input lacks is null."""
     decided = classify(metrics)
-    return decided.select(*(F.col(c) if c in decided.columns else F.lit(None).cast("string").alias(c) for c in OUTPUT))
+    vegetation = F.coalesce(F.expr("try_cast(vegetasi_ratio AS double)"), F.lit(0.0)).alias("vegetasi_ratio")
+    return decided.select(*(vegetation if c == "vegetasi_ratio" else F.col(c) if c in decided.columns else F.lit(None).cast("string").alias(c) for c in OUTPUT))

@@ -6,9 +6,12 @@ integer hashes of the id divided once, identity and copies come from the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lensgraph.config import Retrieval
 from lensgraph.operators.graph import cut_lineage
 
 #: metric: (multiplier, offset, low, high, whole number)
@@ -32,9 +35,12 @@ METRICS = {
     "green_h": (8681, 67, 0, 60, True),
     "comp_w": (7687, 71, 0, 50, True),
     "comp_h": (6689, 73, 0, 70, True),
+    "comp_touch": (5683, 79, 0, 2, True),
+    "comp_short": (4691, 83, 0, 40, True),
 }
 PRIME = 10007
-RARE = 8
+#: Different texts are a pair from this set cosine on: half, as 4 * shared^2 >= n1 * n2 in whole numbers.
+LEAST_COSINE = 0.5
 LETTERS = "abcdefghijklmnop"
 
 
@@ -101,6 +107,17 @@ MASTER_SQL = """master AS (SELECT 'root\\' || doc_id || '.jpg' AS file_id, 'U' |
   UNION ALL SELECT doc_id + 1000000000, NULL, 'A' || (doc_id % 5), ['LENGKAP', 'SEBAGIAN', 'LAIN'][(doc_id % 3) + 1] FROM labels WHERE doc_id % 11 = 0))"""
 
 
+_made: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def once(name: str, spark: SparkSession, sf_dir: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` as a table that is written once for an application and an input folder, and read by every query after that."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _made:
+        _made[key] = cut_lineage(make())
+    return _made[key]
+
+
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The image index: hashes, position, time and size of each document."""
     docs = _table(spark, sf_dir, "documents")
@@ -127,13 +144,16 @@ IMAGES_SQL = f"""images AS (SELECT printf('img%09d', doc_id) AS image_id, doc_id
   CASE WHEN doc_id % 4 <> 0 THEN (doc_id * 29) % 900 END AS second FROM documents)"""
 
 
-def pairs(spark: SparkSession, sf_dir: str, top_k: int = 20) -> DataFrame:
+def pairs(spark: SparkSession, sf_dir: str, top_k: int = Retrieval().top_k) -> DataFrame:
     """Candidate pairs of images (image_a < image_b) with their evidence.
 
     Copies of a text are linked to the smallest image of that text.  Different
-    texts are candidates if they share one of their RARE rarest word trigrams that any other text has;
-    their similarity is the set cosine over all trigrams, and each image keeps
-    its top_k neighbours.
+    texts are a pair if the set cosine of their word trigrams is at least
+    LEAST_COSINE, and each image keeps its top_k neighbours.  Pairs are found by
+    prefix filtering, which loses none: with the trigrams of each text in order of
+    their number of texts, rarest first, sets with an intersection of at least
+    a = ceil(LEAST_COSINE sqrt(n1 n2)) share one among the first n1 - a + 1 of the
+    one and the first n2 - a + 1 of the other, and n2 >= LEAST_COSINE^2 n1.
     """
     index = images(spark, sf_dir)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -148,11 +168,16 @@ def pairs(spark: SparkSession, sf_dir: str, top_k: int = 20) -> DataFrame:
     flat = reps.select("image_id", F.explode(grams).alias("g")).withColumn("n", F.count("*").over(Window.partitionBy("image_id")))
     # Read more than once below, and dear to make.
     counted = cut_lineage(flat.join(flat.groupBy("g").agg(F.count("*").alias("df")), "g"))
-    rare = counted.where("df > 1").withColumn("place", F.row_number().over(Window.partitionBy("image_id").orderBy("df", "g"))).where(F.col("place") <= RARE).select("image_id", "g")
-    wanted = rare.alias("x").join(rare.alias("y"), F.expr("x.g = y.g AND x.image_id < y.image_id")).select(F.col("x.image_id").alias("image_a"), F.col("y.image_id").alias("image_b")).distinct()
+    square = LEAST_COSINE * LEAST_COSINE
+    placed = counted.withColumn("place", F.row_number().over(Window.partitionBy("image_id").orderBy("df", "g")))
+    prefix = cut_lineage(placed.where((F.col("df") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * square) + 1)).select("image_id", "g", "n", "place"))
+    need = F.ceil(F.lit(LEAST_COSINE) * F.sqrt(F.col("x.n").cast("double") * F.col("y.n")) - 1e-9)
+    meet = prefix.alias("x").join(prefix.alias("y"), F.expr(f"x.g = y.g AND x.image_id < y.image_id AND x.n >= {square} * y.n AND y.n >= {square} * x.n"))
+    meet = meet.where((F.col("x.place") <= F.col("x.n") - need + 1) & (F.col("y.place") <= F.col("y.n") - need + 1))
+    wanted = meet.select(F.col("x.image_id").alias("image_a"), F.col("y.image_id").alias("image_b")).distinct()
     sets = cut_lineage(reps.select("image_id", grams.alias("grams")).select("image_id", F.transform("grams", lambda x: F.xxhash64(x)).alias("set")))
     side = lambda s: sets.select(F.col("image_id").alias(f"image_{s}"), F.col("set").alias(f"set_{s}"))
-    shared = wanted.join(side("a"), "image_a").join(side("b"), "image_b").select("image_a", "image_b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
+    shared = wanted.join(side("a"), "image_a").join(side("b"), "image_b").select("image_a", "image_b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"), F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("shared")).where("4 * shared * shared >= n_a * n_b")
     scored = shared.select("image_a", "image_b", F.round(F.col("shared") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")), 4).alias("embedding_similarity"), F.round(F.col("shared") / F.least("n_a", "n_b"), 4).alias("feature_match_score"))
     both = scored.select(F.col("image_a").alias("s"), F.col("image_b").alias("t"), "*").union(scored.select(F.col("image_b").alias("s"), F.col("image_a").alias("t"), "*"))
     near = both.withColumn("place", F.row_number().over(Window.partitionBy("s").orderBy(F.desc("embedding_similarity"), "t"))).where(F.col("place") <= top_k)
@@ -165,10 +190,7 @@ copies AS (SELECT rep AS image_a, image_id AS image_b, 1.0::DOUBLE AS embedding_
 reps AS (SELECT i.image_id, string_split(lower(d.text), ' ') AS w FROM images i JOIN documents d USING (doc_id) WHERE i.image_id IN (SELECT rep FROM first)),
 flat0 AS (SELECT DISTINCT image_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT image_id, w, unnest(range(1, len(w) - 1)) AS i FROM reps WHERE len(w) >= 3)),
 flat AS (SELECT *, count(*) OVER (PARTITION BY image_id) AS n FROM flat0),
-dfs AS (SELECT g, count(*) AS df FROM flat GROUP BY g),
-rare AS (SELECT image_id, g FROM (SELECT image_id, g, df, row_number() OVER (PARTITION BY image_id ORDER BY df, g) AS place FROM flat JOIN dfs USING (g) WHERE df > 1) WHERE place <= {RARE}),
-wanted AS (SELECT DISTINCT x.image_id AS image_a, y.image_id AS image_b FROM rare x JOIN rare y ON x.g = y.g AND x.image_id < y.image_id),
-shared AS (SELECT image_a, image_b, a.n AS n_a, b.n AS n_b, count(*) AS shared FROM wanted JOIN flat a ON a.image_id = image_a JOIN flat b ON b.image_id = image_b AND b.g = a.g GROUP BY ALL),
+shared AS (SELECT a.image_id AS image_a, b.image_id AS image_b, a.n AS n_a, b.n AS n_b, count(*) AS shared FROM flat a JOIN flat b ON a.g = b.g AND a.image_id < b.image_id GROUP BY ALL HAVING 4 * count(*) * count(*) >= a.n * b.n),
 scored0 AS (SELECT image_a, image_b, round(shared / sqrt(n_a::DOUBLE * n_b), 4) AS embedding_similarity, round(shared / least(n_a, n_b), 4) AS feature_match_score FROM shared),
 both0 AS (SELECT image_a AS s, image_b AS t, * FROM scored0 UNION ALL SELECT image_b, image_a, * FROM scored0),
-pairs AS (SELECT * FROM copies UNION ALL SELECT DISTINCT image_a, image_b, embedding_similarity, feature_match_score FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY embedding_similarity DESC, t) AS place FROM both0) WHERE place <= 20)"""
+pairs AS (SELECT * FROM copies UNION ALL SELECT DISTINCT image_a, image_b, embedding_similarity, feature_match_score FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY embedding_similarity DESC, t) AS place FROM both0) WHERE place <= {Retrieval().top_k})"""

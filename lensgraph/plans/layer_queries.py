@@ -94,7 +94,7 @@ def l1_pass_rate(spark, d):
 
 
 def l1_result_table(spark, d):
-    return l1.result_table(fixtures.photos(spark, d)).select("path_rel", "kode", "prioritas", "status_baca", "lebar", "tinggi", "ukuran_byte", F.round("edge_mean", 6).alias("edge_mean"), F.round("chroma_std", 6).alias("chroma_std"))
+    return l1.result_table(fixtures.photos(spark, d))
 
 
 def l2_features(spark, d):
@@ -236,6 +236,25 @@ def _quota_sql(target: str, least: int, method: str) -> str:
     SELECT path_rel, ultg, kode, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY ultg, kode ORDER BY sha256(path_rel), path_rel) AS place FROM r1) JOIN q USING (ultg, kode) WHERE place <= quota"""
 
 
+#: Written out by hand, so that a wrong table of slices cannot be right on both sides.
+_CALIBRATION_SQL = """, q AS (SELECT quantile_cont(dark_ratio, 0.65) AS dark65, quantile_cont(comp_long, 0.15) AS comp15, quantile_cont(comp_long, 0.45) AS comp45, quantile_cont(comp_long, 0.55) AS comp55,
+    quantile_cont(comp_long, 0.65) AS comp65, quantile_cont(green_long, 0.20) AS green20, quantile_cont(green_long, 0.45) AS green45, quantile_cont(green_long, 0.55) AS green55 FROM photos),
+p AS (SELECT * FROM photos, q)
+SELECT * FROM (SELECT 'edge_low' AS slice, path_rel FROM p WHERE edge_mean IS NOT NULL ORDER BY edge_mean, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'edge_low_close', path_rel FROM p WHERE dark_ratio >= dark65 ORDER BY edge_mean, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'bright_high', path_rel FROM p WHERE clip_terang IS NOT NULL ORDER BY clip_terang DESC, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'dark_high', path_rel FROM p WHERE clip_gelap IS NOT NULL ORDER BY clip_gelap DESC, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'candidate_low', path_rel FROM p WHERE comp_long IS NOT NULL ORDER BY comp_long, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'candidate_small', path_rel FROM p WHERE comp_long > 0 AND comp_long <= comp15 ORDER BY sha256('11:' || path_rel), path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'candidate_mid', path_rel FROM p WHERE comp_long BETWEEN comp45 AND comp55 ORDER BY sha256('12:' || path_rel), path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'candidate_large', path_rel FROM p WHERE comp_long IS NOT NULL ORDER BY comp_long DESC, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'touch_large', path_rel FROM p WHERE comp_touch = 1 AND comp_long >= comp65 ORDER BY sha256('13:' || path_rel), path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'vegetation_high', path_rel FROM p WHERE vegetasi_ratio IS NOT NULL ORDER BY vegetasi_ratio DESC, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'no_candidate_dark', path_rel FROM p WHERE comp_long <= 8 AND dark_ratio >= 0.08 ORDER BY dark_ratio DESC, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'chroma_high', path_rel FROM p WHERE chroma_std IS NOT NULL ORDER BY chroma_std DESC, path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'green_small', path_rel FROM p WHERE green_long > 0 AND green_long <= green20 ORDER BY sha256('14:' || path_rel), path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'green_mid', path_rel FROM p WHERE green_long BETWEEN green45 AND green55 ORDER BY sha256('15:' || path_rel), path_rel LIMIT 25)
+UNION ALL SELECT * FROM (SELECT 'green_large', path_rel FROM p WHERE green_long IS NOT NULL ORDER BY green_long DESC, path_rel LIMIT 25)"""
 _SCOPED = f"{L1_SQL}, {fixtures.MASTER_SQL}, sc AS (SELECT r1.*, asset_norm, file_id, kelompok FROM r1 JOIN master USING (ultg, nama_file) WHERE in_scope) "
 
 QUERIES = {f.__name__: f for f in (l1_decision, l1_by_code, l1_by_region_code, l1_review_queue, l1_pass_rate, l1_result_table, l2_features, l2_feature_counts, l2_feature_code_matrix, l2_gap_stats, l2_composition, scope_join, master_unmatched_anti, master_match_profile, master_status_map, code_change_check, edits_detected, key_duplicates, border_optional_join, column_guard, sample_greedy, sample_round_robin, sample_per_group_hash, sample_seeded, calibration_slices, quantile_table, lineitem_quantiles, profile_nulls, crosstab_code_asset, describe_metrics, value_counts_head, layer_expectations)}
@@ -246,7 +265,7 @@ ORACLE_SQL = {
     "l1_by_region_code": L1_SQL + "SELECT ultg, kode, count(*) AS n FROM r1 GROUP BY ALL",
     "l1_review_queue": L1_SQL + "SELECT path_rel, kode, alasan FROM r1 WHERE perlu_review_manual = 'YA'",
     "l1_pass_rate": L1_SQL + "SELECT ultg, count(*) AS total, count(*) FILTER (kode = 'S') AS sesuai, round(count(*) FILTER (kode = 'S') / count(*), 6) AS rate, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM r1 GROUP BY 1",
-    "l1_result_table": L1_SQL + "SELECT path_rel, kode, prioritas, status_baca, lebar, tinggi, ukuran_byte, round(edge_mean, 6) AS edge_mean, round(chroma_std, 6) AS chroma_std FROM r1",
+    "l1_result_table": L1_SQL + "SELECT ultg, nama_file, path_rel, kode, nama_keputusan, prioritas, confidence, perlu_review_manual, alasan, lebar, tinggi, ukuran_byte, mean_luma, clip_gelap, clip_terang, edge_mean, dark_ratio, sky_ratio, coalesce(vegetasi_ratio, 0) AS vegetasi_ratio, green_long, green_short, green_touch, comp_long, comp_short, chroma_std, status_baca FROM r1",
     "l2_features": L2_SQL
     + f"SELECT path_rel, {', '.join(FEATURES)}, 'PERLU_VALIDASI' AS status_lapis2, 'proksi_metrik_lapis1' AS metode, len(gaps)::INT AS jumlah_belum_dinilai, array_to_string(gaps, ', ') AS ciri_belum_dinilai, array_to_string(list_filter([{', '.join(repr(f) for f in SEMANTIC_FEATURES)}], lambda x: NOT list_contains(gaps, x)), ', ') AS ciri_semantik_perlu_verifikasi FROM l2",
     "l2_feature_counts": _LONG_SQL + "SELECT ciri, nilai, count(*) AS n FROM long GROUP BY ALL",
@@ -266,7 +285,7 @@ ORACLE_SQL = {
     "sample_round_robin": _quota_sql("260", 8, "round_robin"),
     "sample_per_group_hash": L1_SQL + "SELECT path_rel, ultg, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY ultg ORDER BY sha256(path_rel), path_rel) AS place FROM r1) WHERE place <= 25",
     "sample_seeded": f"WITH {fixtures.PHOTOS_SQL} SELECT path_rel FROM photos ORDER BY sha256('11:' || path_rel), path_rel LIMIT 25",
-    "calibration_slices": f"WITH {fixtures.PHOTOS_SQL} " + profile.calibration_sql(),
+    "calibration_slices": f"WITH {fixtures.PHOTOS_SQL} {_CALIBRATION_SQL}",
     "quantile_table": f"WITH {fixtures.PHOTOS_SQL} " + profile.quantile_sql("photos", ["edge_mean", "dark_ratio", "clip_terang"]),
     "lineitem_quantiles": profile.quantile_sql("lineitem", ["l_quantity", "l_extendedprice"]),
     "profile_nulls": f'WITH {fixtures.PHOTOS_SQL} SELECT "column", nulls FROM (' + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM photos" for c in ("doc_id", "ultg", *METRICS)) + ') ORDER BY nulls DESC, "column" LIMIT 25',

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lensgraph import serving
-from lensgraph.config import RELATION_TYPES
+from lensgraph.config import RELATION_TYPES, Retrieval
 from lensgraph.functions import scalars as S
 from lensgraph.operators import expectations, graph, l1, l2, relationship, similarity
 from lensgraph.plans import fixtures
@@ -18,6 +18,10 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return fixtures.once("scored", spark, d, lambda: _score(spark, d))
+
+
+def _score(spark: SparkSession, d: str) -> DataFrame:
     pairs = relationship.with_pair_attributes(fixtures.pairs(spark, d), fixtures.images(spark, d), "image_hash", "phash", "lat", "lon", "second")
     ready = pairs.withColumns(
         {
@@ -35,13 +39,14 @@ def _images_with_code(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    scored = graph.cut_lineage(_scored(spark, d))
-    return scored, *graph.cluster_tables(scored, _images_with_code(spark, d))
+    scored = _scored(spark, d)
+    clusters, members = graph.cluster_tables(scored, _images_with_code(spark, d))
+    return scored, fixtures.once("clusters", spark, d, lambda: clusters), fixtures.once("members", spark, d, lambda: members)
 
 
 def knn_topk(spark, d):
     v = _vectors(spark, d)
-    return similarity.knn_exact(v.where(similarity.every_twentieth()), v, 20)
+    return similarity.knn_exact(v.where(similarity.every_twentieth()), v, Retrieval().top_k)
 
 
 def knn_index_recall(spark, d):
@@ -132,7 +137,9 @@ def _portal(spark, d):
 
 def page_pairs(spark, d):
     pairs, _, _ = _portal(spark, d)
-    return serving.page(serving.query_pairs(pairs, type="NEAR_DUPLICATE"), 1).select("id", "image_a", "image_b", "group_id", "total")
+    every = serving.query_pairs(pairs)
+    pages = [serving.page(every, n).select(F.lit(n).alias("page"), "id", "image_a", "image_b", "group_id", "total") for n in (0, 1)]
+    return pages[0].union(pages[1])
 
 
 def search_pairs(spark, d):
@@ -250,8 +257,16 @@ ORACLE_SQL = {
     "cluster_summary": _C + "SELECT duplicate_group_id, canonical_image, jumlah_gambar, member_images, average_similarity, minimum_similarity, cluster_confidence, cluster_status, cluster_validation_notes, strong_edge_ratio, cluster_diameter, relationship_type_dominant FROM clusters",
     "cluster_members": _C + "SELECT duplicate_group_id, image_id, nama_file, path_rel, ultg, kode_l1, is_canonical, quality_score FROM members",
     "cluster_diameter": _C + "SELECT component, diameter::BIGINT AS diameter FROM far",
-    "relation_expectations": "SELECT unnest(['ordered pair: pairs', 'unique: pairs', 'within: similarity', 'within: score', 'domain: type', 'references: members are images', 'references: canonical is a member', 'declared size: clusters']) AS check_name, 0::BIGINT AS violations",
-    "page_pairs": _C + "SELECT id, image_a, image_b, group_id, (SELECT count(*) FROM portal WHERE relationship_type = 'NEAR_DUPLICATE') AS total FROM portal WHERE relationship_type = 'NEAR_DUPLICATE' ORDER BY id LIMIT 50 OFFSET 50",
+    "relation_expectations": _C
+    + f"""SELECT 'ordered pair: pairs' AS check_name, (SELECT count(*) FROM scored WHERE NOT image_a < image_b) AS violations
+    UNION ALL SELECT 'unique: pairs', (SELECT count(*) FROM (SELECT image_a FROM scored GROUP BY image_a, image_b HAVING count(*) > 1))
+    UNION ALL SELECT 'within: similarity', (SELECT count(*) FROM scored WHERE embedding_similarity IS NULL OR embedding_similarity NOT BETWEEN 0 AND 1)
+    UNION ALL SELECT 'within: score', (SELECT count(*) FROM scored WHERE relationship_score IS NULL OR relationship_score NOT BETWEEN 0 AND 1)
+    UNION ALL SELECT 'domain: type', (SELECT count(*) FROM scored WHERE relationship_type NOT IN {RELATION_TYPES})
+    UNION ALL SELECT 'references: members are images', (SELECT count(*) FROM members ANTI JOIN images USING (image_id))
+    UNION ALL SELECT 'references: canonical is a member', (SELECT count(*) FROM clusters c WHERE NOT EXISTS (SELECT 1 FROM members m WHERE m.duplicate_group_id = c.duplicate_group_id AND m.image_id = c.canonical_image))
+    UNION ALL SELECT 'declared size: clusters', (SELECT count(*) FROM clusters c FULL JOIN (SELECT duplicate_group_id, count(*) AS k FROM members GROUP BY 1) m ON c.duplicate_group_id = m.duplicate_group_id WHERE c.jumlah_gambar IS DISTINCT FROM m.k)""",
+    "page_pairs": _C + "SELECT ((id - 1) // 50)::INT AS page, id, image_a, image_b, group_id, (SELECT count(*) FROM portal) AS total FROM portal WHERE id <= 100",
     "search_pairs": _C + "SELECT id, image_a, image_b, relationship_type FROM portal WHERE duplicate_confidence = 'HIGH' AND (contains(lower(image_a), 'img00000000') OR contains(lower(image_b), 'img00000000'))",
     "search_clusters": _C + "SELECT c.duplicate_group_id, c.canonical_image, string_agg(DISTINCT m.ultg, '; ' ORDER BY m.ultg) AS ultg, max(m.kode_l1) FILTER (m.is_canonical = 'YA') AS kode_l1_canonical, any_value(c.jumlah_gambar) AS jumlah_gambar FROM clusters c JOIN members m USING (duplicate_group_id) WHERE cluster_status = 'SPLIT_RECOMMENDED' GROUP BY c.duplicate_group_id, c.canonical_image HAVING count(*) FILTER (m.ultg = 'U1') > 0",
     "cluster_detail": _C + "SELECT duplicate_group_id, cluster_status, image_id, is_canonical, quality_score FROM clusters JOIN members USING (duplicate_group_id) WHERE duplicate_group_id = 'DUP-00002'",

@@ -15,7 +15,7 @@ CASES = [
     ((0.94, 0, 0.9, 5.0, 60.0, "x", "y"), "SAME_CAPTURE", 0.954, "VERY_HIGH"),
     ((0.94, 0, 0.9, 20.0, 300.0, "x", "y"), "SAME_OBJECT", 0.874, "HIGH"),
     ((0.94, 0, 0.01, 20.1, 301.0, "x", "y"), "UNRELATED", 0.5315, "LOW"),
-    ((0.90, 2, 0.3, None, None, "x", "y"), "RELATED_ONLY", 0.7, "LOW"),
+    ((0.90, 2, 0.3, None, None, "x", "y"), "RELATED_ONLY", 0.70625, "MEDIUM"),
 ]
 
 

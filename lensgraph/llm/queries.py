@@ -67,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
     "op3_benchmark_decontamination": decontaminate.ORACLE,
     "op4_minhash_near_dedup": near_dedup.ORACLE,
     "op9_chat_format": chat_format.ORACLE,

@@ -11,20 +11,48 @@ from pyspark.sql import functions as F
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: A key is hot if it makes up more than one in so many rows, so there are fewer hot keys than that.
+HOT = 1000
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where neither the setting nor the context
-    names one, which is the case in tests alone.
+    A folder of our own is made in local mode alone, where driver and executors
+    are one machine; on a cluster a missing setting is an error.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, or in local mode one of our own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a shared folder")
+    return folder or tempfile.mkdtemp(prefix="checkpoint-")
+
+
+def join_with_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str) -> DataFrame:
+    """``rows`` joined with ``keys``, which has one row for each key and in ``count`` the number of rows it meets.
+
+    A key that makes up more than one in HOT of the rows met is dealt over as many
+    shares as it exceeds that; a row's share is a hash of its columns.  The hot
+    keys, fewer than HOT, are broadcast to ``rows`` and repeated for each share, so
+    ``rows`` is read once and no task gets all rows of a key.
+    """
+    total = keys.agg(F.sum(count)).first()[0] or 0
+    limit = total // HOT + 1
+    shares = F.ceil(F.col(count) / limit).cast("int")
+    hot = keys.where(F.col(count) > limit).select(*on, shares.alias("__shares"))
+    dealt = rows.withColumn("__row", F.xxhash64(*rows.columns)).join(F.broadcast(hot), on, "left")
+    dealt = dealt.withColumn("__share", F.coalesce(F.pmod("__row", F.col("__shares")), F.lit(0)).cast("int")).drop("__row", "__shares")
+    repeated = keys.withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1))).drop(count)
+    return dealt.join(repeated, [*on, "__share"]).drop("__share")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -75,3 +75,35 @@ def base_quality(text):
         places.setdefault(tuple(w[i : i + 8]), []).append(i)
     covered = {j for at in places.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered), len(w) < 20 or 100 * len(covered) > 30 * len(w)
+
+
+def substring_dedup(rows, least=20):
+    """{(id, text): (n_words, n_removed, spans, clean)} of (id, text) rows; an id has one text."""
+    found, first = {}, {}
+    for i, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        tokens = [(m.start(), m.end()) for m in SPACED.finditer(text or "")]
+        w = [lower((text or "")[a:b]) for a, b in tokens]
+        opens = [k for k in range(len(w)) if k == 0 or "\n" in text[tokens[k - 1][1] : tokens[k][0]] or w[k - 1][-1] in ".!?"]
+        stops = [*opens[1:], len(w)] if w else []
+        runs = {(0, len(w))} if 0 < len(w) < least else set()
+        for a in opens:
+            runs |= {(a, b) for b in [next((b for b in stops if b - a >= least), None)] if b}
+        for b in stops:
+            runs |= {(a, b) for a in [next((a for a in reversed(opens) if b - a >= least), None)] if a is not None}
+        gone = set()
+        for a, b in sorted(runs):
+            if first.setdefault(tuple(w[a:b]), (i, text, a)) != (i, text, a):
+                gone |= set(range(a, b))
+        spans = []
+        for k in sorted(gone):
+            if k - 1 in gone:
+                spans[-1][1] = tokens[k][1]
+            else:
+                spans.append(list(tokens[k]))
+        clean, at = "", 0
+        for a, b in spans:
+            clean += text[at:a]
+            after, opening = text[b : b + 1], a == 0 or text[a - 1] == "\n"
+            at = b + (after == " " or (opening and after == "\n"))
+        found[i, text] = (len(w), len(gone), spans, None if text is None else clean + text[at:])
+    return found

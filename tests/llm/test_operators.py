@@ -157,33 +157,47 @@ def test_line_dedup_removes_every_repeated_run(spark):
     assert all(sum(x in got[d][2].split("\n") for d in got) == 1 for run in runs for x in run)
 
 
-def test_substring_dedup_equals_brute_force(spark, vocabulary):
+def _substring_equals_brute_force(spark, rows):
+    docs = make(spark, [(i, t, "en", "a") for i, t in rows])
+    got = _rows(substring_dedup.substring_dedup(docs.repartition(3)), "doc_id", "n_words", "n_removed_words", "removed_spans", "clean_text")
+    expected = brute.substring_dedup(rows)
+    key = lambda r: (r[0] is not None, r[0] or 0, str(r[1:]))
+    assert sorted(((i, n, gone, [list(s) for s in spans], clean) for i, n, gone, spans, clean in got), key=key) == sorted(((i, *expected[i, t]) for i, t in rows), key=key)
+    return expected
+
+
+def test_substring_dedup_equals_brute_force(spark, vocabulary, odd_rows):
+    """Passages inside lines and over several, copies of short and long texts, repeats within a text, all odd rows."""
     rng = random.Random(12)
     sentence = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 12))) + rng.choice(".!?")
     passage = " ".join(sentence() for _ in range(12))
-    docs = []
-    for i in range(25):
+    lines = "\n".join(" ".join(sentence() for _ in range(3)) for _ in range(4))
+    rows = [(i, t) for i, t, *_ in odd_rows]
+    for i in range(100, 140):
         own = [sentence() for _ in range(8)]
         if i % 2:
-            own[4] = own[4][:-1] + " " + (passage.upper() if i == 3 else passage)
-        docs.append((i, rng.choice(["\n", " "]).join(own)))
-    got = {r[0]: r[1:] for r in _rows(substring_dedup.substring_dedup(make(spark, [(i, t, "en", "a") for i, t in docs])), "doc_id", "n_removed_words", "removed_spans", "clean_text")}
-    inner = len(passage.split()) - len(passage.split(". ")[0].split()) - 12
-    for i, text in docs:
-        n, spans, clean = got[i]
-        gone = " ".join(text[a:b] for a, b in spans)
-        assert n == len(gone.split()) and (n == 0) == (i < 2 or i % 2 == 0)
-        assert brute.words(clean) == brute.words("".join(text[a:b] for (_, a), (b, _) in zip([(0, 0), *spans], [*spans, (len(text), 0)], strict=True)))
-        if i > 1 and i % 2:
-            assert n >= inner and set(brute.words(gone)) <= set(brute.words(passage))
-
-
-def test_substring_dedup_of_odd_rows(spark, odd_rows):
-    got = substring_dedup.substring_dedup(make(spark, odd_rows)).toPandas()
-    assert len(got) == len(odd_rows)
-    by = got.dropna(subset=["doc_id"]).drop_duplicates("doc_id").set_index("doc_id")
-    assert by.loc[1, "clean_text"] is None and by.loc[4, "n_removed_words"] == 0 < by.loc[5, "n_removed_words"]
+            own[4] = own[4][:-1] + " " + (passage.upper() if i == 103 else passage)
+        if i % 3 == 0:
+            own.insert(2, "\n" + lines + "\n")
+        rows.append((i, rng.choice(["\n", " "]).join(own)))
+    rows += [(200, "One"), (201, passage), (202, passage), (203, passage + " " + passage), (204, rows[-1][1]), (205, "a b.\n" * 40), (206, "x " * 30)]
+    expected = _substring_equals_brute_force(spark, rows)
+    by = {i: r for (i, _), r in expected.items()}
+    assert by[202][3] == "" and by[200][3] == "" and by[101][1] == by[100][1] == 0 < by[103][1] and by[204][3] == ""
+
+
+def test_substring_dedup_leaves_texts_without_repeats_alone(spark, vocabulary):
+    """Short lines and sentences that repeat by chance stay."""
+    rng = random.Random(13)
+    common = [" ".join(rng.choice(vocabulary) for _ in range(n)) + "." for n in (1, 2, 3, 5, 8, 15)]
+    rows = [(i, rng.choice([" ", "\n"]).join(x for _ in range(6) for x in (rng.choice(common), " ".join(rng.choice(vocabulary) for _ in range(rng.randint(6, 15))) + "."))) for i in range(60)]
+    assert all(r[1] == 0 for r in _substring_equals_brute_force(spark, rows).values())
+
+
+def test_substring_dedup_of_odd_tables(spark, odd_rows):
     assert substring_dedup.substring_dedup(make(spark, odd_rows).limit(0)).count() == 0
+    twins = make(spark, [(None, "a b c", "en", "a"), (None, "a b c", "en", "a"), (None, None, "en", "a"), (3, "a b c", "en", "a")])
+    assert sorted(_rows(substring_dedup.substring_dedup(twins), "n_removed_words", "clean_text"), key=str) == [(0, "a b c"), (0, "a b c"), (0, None), (3, "")]
 
 
 # Quality rules
@@ -448,7 +462,7 @@ def _equals_sql(spark, name):
     rel = con.sql(queries.ORACLE_SQL[name])
     columns = sorted(df.columns)
     order = [rel.columns.index(c) for c in columns]
-    assert Counter(tuple(r[c] for c in columns) for r in df.collect()) == Counter(tuple(r[i] for i in order) for r in rel.fetchall())
+    assert Counter(str([r[c] for c in columns]) for r in df.collect()) == Counter(str([r[i] for i in order]) for r in rel.fetchall())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))

@@ -6,7 +6,7 @@ by chance; what is hashed is a *run* of consecutive units of at least
 ``RUN_WORDS`` words: from each unit on to the first unit end that far away, and
 back from each unit's end to the last unit start that far away, so that every
 repeated run has a digest that ends where it ends.  A text of fewer words is one
-run.  Digests are 128 bits of the normalised words: A-Z lower-cased, white space
+run.  Digests are 96 bits of the normalised words: A-Z lower-cased, white space
 collapsed.
 
 Occurrences rank by document id, text hash and offset.  The earliest of each
@@ -38,7 +38,7 @@ CLEANED_ROWS = 512
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 _ODD = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-_FOUND = "doc_id long, th long, begin int, end int, d1 long, d2 long"
+_FOUND = "doc_id long, th int, begin int, end int, d1 long, d2 int"
 
 
 def run_digests(hashes: np.ndarray, first: np.ndarray, stop: np.ndarray, odd: int) -> np.ndarray:
@@ -88,7 +88,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, begin, end, d1, d2 = runs(texts)
             rows = pa.array(doc + first)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))],
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(d1.view(np.int64)), pa.array((d2 >> np.uint64(32)).astype(np.uint32).view(np.int32))],
                 names=["doc_id", "th", "begin", "end", "d1", "d2"],
             )
 
@@ -146,7 +146,7 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
     lose what one of them loses, and no other ties exist.  Other columns are not
     looked at, whatever their names; an empty table gives no rows.
     """
-    base = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("th"), F.col(text_column).alias("text"))
+    base = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.hash(text_column).alias("th"), F.col(text_column).alias("text"))
     found = base.select("doc_id", "th", "text").mapInArrow(_find, _FOUND)
     rank = F.struct("doc_id", "th", "begin")
     repeated = cut(found.groupBy("d1", "d2").agg(F.count("*").alias("m"), F.min(rank).alias("keep")).where("m > 1"))

@@ -71,4 +71,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_benchmark_decontamination": decontaminate.ORACLE,
     "op4_minhash_near_dedup": near_dedup.ORACLE,
     "op9_chat_format": chat_format.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
 }

@@ -35,13 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or tempfile.mkdtemp(prefix="checkpoint-")
 
 
-def join_with_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str) -> DataFrame:
+def join_with_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str, shares_as: str | None = None) -> DataFrame:
     """``rows`` joined with ``keys``, which has one row for each key and in ``count`` the number of rows it meets.
 
     A key that makes up more than one in HOT of the rows met is dealt over as many
     shares as it exceeds that; a row's share is a hash of its columns.  The hot
     keys, fewer than HOT, are broadcast to ``rows`` and repeated for each share, so
-    ``rows`` is read once and no task gets all rows of a key.
+    ``rows`` is read once and no task gets all rows of a key.  ``shares_as`` names
+    a column for the number of shares of each row's key, for joins that follow.
     """
     total = keys.agg(F.sum(count)).first()[0] or 0
     limit = total // HOT + 1
@@ -49,8 +50,9 @@ def join_with_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str) -
     hot = keys.where(F.col(count) > limit).select(*on, shares.alias("__shares"))
     dealt = rows.withColumn("__row", F.xxhash64(*rows.columns)).join(F.broadcast(hot), on, "left")
     dealt = dealt.withColumn("__share", F.coalesce(F.pmod("__row", F.col("__shares")), F.lit(0)).cast("int")).drop("__row", "__shares")
-    repeated = keys.withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1))).drop(count)
-    return dealt.join(repeated, [*on, "__share"]).drop("__share")
+    repeated = keys.withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    repeated = (repeated.withColumn(shares_as, shares) if shares_as else repeated).drop(count)
+    return dealt.drop("__shares").join(repeated, [*on, "__share"]).drop("__share")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,8 +13,8 @@ if such items exist (at most WINDOW - 1 lengths).
    both windows must be equal.
 3. Hit words are the union of the windows found.
 
-The benchmark's windows are broadcast while their number is at most
-``BROADCAST_WINDOWS``; beyond, the joins shuffle by fingerprint.
+The benchmark's windows are broadcast while they have at most
+``BROADCAST_BYTES``; beyond, the joins shuffle by fingerprint.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ from lensgraph.llm.session import cut
 
 WINDOW = 10
 GRAM = 5
-BROADCAST_WINDOWS = 500_000
+#: The benchmark is broadcast up to this size.
+BROADCAST_BYTES = 64 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words, before and after A-Z are lower-cased.
 _GAPS_LOWERED = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -78,18 +79,13 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
     return every.select("item_id", F.col("x.length").alias("length"), F.col("x.key").alias("key"), F.array_join(F.slice("w", F.col("x.start"), F.col("x.length")), " ").alias("content")).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each row of ``docs``.
-
-    Null and empty texts have no words and no hits.  Repeated rows and null ids
-    give a row each.  Null item ids count as no item, but their words are hit.
-    An empty benchmark hits nothing.  Other columns are not looked at.
-    """
+def _hits(base: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, th, n_hit), (doc_id, th, n_items, joined)) of the documents (doc_id, text) that hold a window."""
     bench = cut(benchmark_windows(items))
-    n_windows = bench.count()
+    # What is broadcast: a key of eight bytes, the words and the items of each window.
+    size, *_ = bench.agg(F.sum(F.octet_length("content") + 64)).first()
     short = sorted(r[0] for r in bench.where(f"length < {WINDOW}").select("length").distinct().collect())
-    small = F.broadcast if n_windows <= BROADCAST_WINDOWS else (lambda df: df)
-    base = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    small = F.broadcast if (size or 0) <= BROADCAST_BYTES else (lambda df: df)
     marked = base.withColumn("th", F.xxhash64("text"))
 
     keys = bind(words("text"), lambda w: F.array_distinct(F.concat(_window_keys(w), *(_hashes(w, n) for n in short))))
@@ -110,6 +106,20 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     )
     hit = spans.select("doc_id", "th", covered.cast("long").alias("n_hit"))
     named = found.select("doc_id", "th", F.explode("items").alias("item")).distinct().groupBy("doc_id", "th").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list(F.col("item").cast("string"))), ",").alias("joined"))
+    return hit, named
+
+
+def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each row of ``docs``.
+
+    Null and empty texts have no words and no hits.  Texts of any length are
+    taken whole.  Repeated rows and null ids give a row each, and rows that share an
+    id are judged by their own texts; there are no ties.  Null item ids count as no
+    item, but their words are hit.  An empty benchmark hits nothing, and an empty
+    table gives no rows.  Other columns are not looked at, whatever their names.
+    """
+    base = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    hit, named = _hits(base, items)
     same = lambda other: F.expr(f"d.doc_id <=> {other}.doc_id AND d.th = {other}.th")
     counted = base.select("doc_id", F.xxhash64("text").alias("th"), F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("n_words"))
     return (
@@ -128,9 +138,17 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that share no window with the benchmark."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    """The rows of ``docs`` that share no window with the benchmark, all columns as they are.
+
+    A row goes by its own text, whatever other rows have its id; null texts stay.
+    Null and repeated ids, ties, repeated rows, long texts, empty tables and
+    clashing names are handled as by ``contamination``.
+    """
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("text").alias("th"))
+    # By text alone: equal texts share the verdict, so copies are looked at once.
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    bad = _hits(texts, items)[0].select(F.col("th").alias("bad")).distinct()
+    return row.join(bad, F.col("th") == F.col("bad"), "left_anti").select("row.*")
 
 
 _LETTERS = f"'{_UPPER}', '{_LOWER}'"

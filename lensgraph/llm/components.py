@@ -1,49 +1,34 @@
-"""Connected components of an edge table by alternating large and small stars.
-
-Each round is two joins on an aggregated minimum: no neighbour list is ever
-collected, so a node of any degree costs its task no memory.  The number of
-rounds grows with the logarithm of the longest chain.
-
-Up to ``ONE_TASK`` edges, 16 MB, are counted first and then labelled in one task of
-an executor instead: the rounds' many small jobs cost more than the work.
+"""Connected components of tables of links, by joins alone.
+
+``roots`` follows links that all lead upwards, one from each node: the pointers of
+a forest are doubled, so the rounds grow with the logarithm of its height.
+``components`` takes any links, by alternating large and small stars: each round is
+two joins on an aggregated minimum, and the rounds grow with the logarithm of the
+longest chain.  No neighbour list is ever collected, so a node of any degree costs
+its task no memory, whatever the number of links.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lensgraph.llm.session import cut
+from lensgraph.llm.session import cut, join_with_hot
 
-#: Edges that one task may label; more are labelled by joins.
-ONE_TASK = 1_000_000
 
+def roots(links: DataFrame) -> DataFrame:
+    """(node, root) for every node v of ``links`` (u, v) and every root: nodes without a link of their own.
 
-def label(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(nodes, smallest node of each one's component): labels fall along edges and are followed to their own labels."""
-    nodes, codes = np.unique(np.concatenate((u, v)), return_inverse=True)
-    a, b = codes[: len(u)], codes[len(u) :]
-    low = np.arange(len(nodes))
+    Each v has one row at most, and the links have no cycles.  No links give no rows.
+    """
+    up = links.select(F.col("v").alias("node"), F.col("u").alias("root"))
     while True:
-        least = np.minimum(low[a], low[b])
-        new = low.copy()
-        np.minimum.at(new, low[a], least)
-        np.minimum.at(new, low[b], least)
-        new = new[new]
-        if (new == low).all():
-            return nodes, nodes[low]
-        low = new
-
-
-def _label_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    if held:
-        nodes, low = label(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(low)], names=["node", "component"])
+        # A root that many nodes have reached is one row here, and its nodes are dealt over shares below.
+        reached = up.groupBy("root").agg(F.count("*").alias("m")).join(up.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+        reached = cut(reached)
+        if reached.where("next IS NOT NULL").isEmpty():
+            return up.union(reached.select(F.col("root").alias("node"), "root"))
+        up = cut(join_with_hot(up, reached, ["root"], "m").select("node", F.coalesce("next", "root").alias("root")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -71,8 +56,6 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = cut(edges.select("u", "v").where("u != v").distinct())
     seen = _digest(now)
-    if seen[0] <= ONE_TASK:
-        return now.coalesce(1).mapInArrow(_label_all, "node long, component long")
     while seen[0]:
         now = cut(_small_star(_large_star(now)))
         after = _digest(now)

@@ -9,15 +9,18 @@ are less independent, also take each shingle as a key, which misses nothing.
 
 1. Documents with equal shingle sets form a class; only its smallest id goes on.
 2. Each document in a band bucket with others meets the one that meets most
-   others in their buckets, and the link is confirmed on the full sets.
+   others in their buckets, and the link is confirmed on the full sets.  Such
+   links only lead to documents that meet more, or as many and have a larger id,
+   so they are a forest, whose roots are found by doubling pointers.
 3. Documents of buckets that still hold several components are joined exactly,
    by prefix filtering on their full sets, pairs inside a component left out.
    So no link of a bucket that could join two components is lost, and documents
    that only share a bucket are told apart without being paired.
-4. Components come from alternating large and small stars.
+4. The links of step 3 join components, by alternating large and small stars.
 
 Hot buckets: the hub side of a join has one row a key, so the long side may be
 split freely (adaptive skew join); bucket aggregates combine before the shuffle.
+Shingles of many documents are dealt over shares.
 """
 
 from __future__ import annotations
@@ -30,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lensgraph.llm import textnp
-from lensgraph.llm.components import components
-from lensgraph.llm.session import cut
+from lensgraph.llm.components import components, roots
+from lensgraph.llm.session import cut, join_dealt, join_with_hot
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 64
@@ -112,37 +115,50 @@ def _with_component(members: DataFrame, comps: DataFrame) -> DataFrame:
     return members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
+def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, component) after ``more`` links (u, v); the links are contracted to links of components first."""
+    side = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+    lifted = more.join(side("u"), "u", "left").join(side("v"), "v", "left").select("u", "v", F.coalesce("c_u", "u").alias("c_u"), F.coalesce("c_v", "v").alias("c_v"))
+    least = cut(components(lifted.select(F.col("c_u").alias("u"), F.col("c_v").alias("v"))))
+    nodes = comps.unionByName(lifted.select(F.col("u").alias("node"), F.col("c_u").alias("component"))).unionByName(lifted.select(F.col("v").alias("node"), F.col("c_v").alias("component"))).distinct()
+    return nodes.join(least.select(F.col("node").alias("component"), F.col("component").alias("least")), "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+
+
 def _across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) of different components that may still be linked, by prefix filtering.
 
     ``members``: (doc_id, component).  Shingles are put in order of their number
     of documents, rarest first.  Two sets with an intersection of at least
     a = ceil(P (n1 + n2) / (100 + P)) have a common shingle among the first
-    n1 - a + 1 of the one and the first n2 - a + 1 of the other.  A document far
-    from its group has that many shingles of its own and meets no one.
+    n1 - a + 1 of the one and the first n2 - a + 1 of the other.  As a grows with
+    the other set, a set needs n - ceil(P n / 100) + 1 shingles to meet smaller
+    ones, but only n - ceil(2 P n / (100 + P)) + 1 to be met by ones of its size or
+    larger.  A document far from its group has that many shingles of its own and
+    meets no one.
     """
     own = sets.join(members, "doc_id")
     flat = own.select("doc_id", "component", "n", F.explode("shingles").alias("s"))
-    shared = flat.groupBy("s").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("df > 1")
-    ranked = flat.join(shared, "s").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s", (F.col("lo") != F.col("hi")).alias("mixed")))).alias("order"))
+    shared = cut(flat.groupBy("s").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("df > 1").select("s", "df", F.col("df").alias("m"), (F.col("lo") != F.col("hi")).alias("mixed")))
+    ranked = join_with_hot(flat, shared, ["s"], "m").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s", "mixed"))).alias("order"))
     # Shingles of one document alone come first; they need no entry, but they take up places.
     longest = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
     alone = F.col("n") - F.size("order")
-    entries = (
+    entries = cut(
         ranked.where(alone < longest)
         .select("doc_id", "component", "n", alone.alias("alone"), longest.alias("longest"), F.posexplode("order").alias("at", "x"))
         .where("alone + at < longest AND x.mixed")
         .select(F.col("x.s").alias("s"), "doc_id", "component", "n", (F.col("alone") + F.col("at") + 1).alias("place"))
     )
-    entries = cut(entries)
     counts = entries.groupBy("s", "component").agg(F.count("*").alias("m"))
-    largest = counts.groupBy("s").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("several")).where("several > 1").drop("several")
-    small = entries.join(largest, "s").where("component != largest").drop("largest")
-    left = small.select("s", *(F.col(c).alias(f"l_{c}") for c in ("doc_id", "component", "n", "place")))
+    largest = cut(counts.groupBy("s").agg(F.sum("m").alias("m"), F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("several")).where("several > 1").drop("several"))
+    marked = cut(join_with_hot(entries, largest, ["s"], "m").withColumn("small", F.col("component") != F.col("largest")).drop("largest"))
+    met = marked.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1)
+    met = met.select("s", *(F.col(c).alias(f"l_{c}") for c in ("doc_id", "component", "n", "place", "small")))
+    # Entries of a shingle's largest component do not meet each other: at least one of two is of another.
+    pairs = join_dealt(marked, met.where("l_small"), ["s"], largest, "m").unionByName(join_dealt(marked.where("small"), met.where("NOT l_small"), ["s"], largest, "m"))
     need = F.ceil((F.col("n") + F.col("l_n")) * PERCENT / (100 + PERCENT))
     return (
-        entries.join(left, "s")
-        .where((F.col("component") != F.col("l_component")) & (F.col("place") <= F.col("n") - need + 1) & (F.col("l_place") <= F.col("l_n") - need + 1))
+        pairs.where((F.col("component") != F.col("l_component")) & (F.col("n") >= F.col("l_n")) & (F.col("place") <= F.col("n") - need + 1) & (F.col("l_place") <= F.col("l_n") - need + 1))
         .select(F.least("doc_id", "l_doc_id").alias("u"), F.greatest("doc_id", "l_doc_id").alias("v"))
         .distinct()
     )
@@ -152,9 +168,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
 
     Null text and texts without a word: no shingles, a component of their own,
-    kept.  Null ids: never linked, null component, kept.  Repeated rows give
+    kept.  Texts of any length are taken whole; memory goes with the longest one.
+    Null ids: never linked, null component, kept.  Repeated rows give
     repeated rows, and rows that share an id share a node.  Ties go to the
-    smallest id.  Other columns are not looked at.  An empty table gives none.
+    smallest id.  Other columns are not looked at, whatever their names.  An empty table gives none.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     signed = cut(texts.mapInArrow(_sign, _SIGNED))
@@ -172,7 +189,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     best = members.join(hubs, "key").groupBy("doc_id").agg(F.max("hub").alias("hub")).select(F.col("hub.doc_id").alias("u"), F.col("doc_id").alias("v"))
     sets = cut(texts.join(reach.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "doc_id long, n long, shingles array<long>").dropDuplicates(["doc_id"]))
     links = _links(best.where("u != v"), sets)
-    comps = cut(components(links))
+    tree = cut(roots(links))
+    comps = cut(tree.join(tree.groupBy("root").agg(F.min("node").alias("component")), "root").select("node", "component"))
 
     placed = _with_component(members.select("key", "doc_id"), comps)
     several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
@@ -180,7 +198,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if not undecided.isEmpty():
         more = _links(_across_components(undecided, sets), sets)
         if not more.isEmpty():
-            comps = cut(components(links.union(more)))
+            comps = cut(_joined(comps, more))
 
     whole = copies.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("c"))
     alone = comps.join(copies.select(F.col("doc_id").alias("node")), "node", "left_anti").select(F.col("node").alias("doc_id"), F.col("component").alias("c"))
@@ -194,9 +212,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept; a row repeated under one id stays repeated."""
-    gone = near_duplicates(docs, id_column, text_column).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_column].cast("long") == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that are kept, all columns as they are.
+
+    Nulls, texts without a word and null ids stay; a row repeated under one id
+    stays repeated; an empty table gives none; names may clash with anything.
+    """
+    gone = near_duplicates(docs, id_column, text_column).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_column).cast("long").alias("id"))
+    return row.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")
 
 
 #: DuckDB SQL for op4: every pair of documents that share a shingle, then the transitive closure of the links.

@@ -55,6 +55,19 @@ def join_with_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str, s
     return dealt.drop("__shares").join(repeated, [*on, "__share"]).drop("__share")
 
 
+def join_dealt(rows: DataFrame, others: DataFrame, on: list[str], counts: DataFrame, count: str) -> DataFrame:
+    """``rows`` joined with ``others``, which may have several rows for a key; ``counts`` has each key's rows.
+
+    As in ``join_with_hot``, the rows of a hot key are dealt over shares, and the others of that key are repeated for each share.
+    """
+    limit = (counts.agg(F.sum(count)).first()[0] or 0) // HOT + 1
+    hot = F.broadcast(counts.where(F.col(count) > limit).select(*on, F.ceil(F.col(count) / limit).cast("int").alias("__shares")))
+    shares = F.coalesce("__shares", F.lit(1))
+    left = rows.withColumn("__row", F.xxhash64(*rows.columns)).join(hot, on, "left").withColumn("__share", F.pmod("__row", shares).cast("int")).drop("__row", "__shares")
+    right = others.join(hot, on, "left").withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("__shares")
+    return left.join(right, [*on, "__share"]).drop("__share")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -56,9 +56,7 @@ def test_near_duplicates_of_odd_rows(spark, odd_rows):
     assert kept.columns == make(spark, odd_rows).columns and 5 not in {r[0] for r in _rows(kept, "doc_id")}
 
 
-@pytest.mark.parametrize("limit", [components.ONE_TASK, 0])
-def test_components(spark, monkeypatch, limit):
-    monkeypatch.setattr(components, "ONE_TASK", limit)
+def test_components(spark):
     rng = random.Random(2)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1040)] + [(5000, i) for i in range(4000, 4100)]
     parent = {}
@@ -77,6 +75,30 @@ def test_components(spark, monkeypatch, limit):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_roots(spark):
+    """Forests with a long path, a hot root and loners."""
+    up = {i: i + 1 for i in range(100)} | {i: 500 for i in range(200, 400)} | {500: 501, 600: 601}
+
+    def root(i):
+        while i in up:
+            i = up[i]
+        return i
+
+    found = components.roots(spark.createDataFrame([(u, v) for v, u in up.items()], "u long, v long"))
+    assert sorted(_rows(found, "node", "root")) == sorted((i, root(i)) for i in {*up, *up.values()})
+    assert components.roots(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_near_duplicates_with_a_hot_shingle(spark, vocabulary):
+    """Documents of one template, below and above the threshold, that all share the template's shingles."""
+    rng = random.Random(31)
+    template = [rng.choice(vocabulary) for _ in range(60)]
+    fill = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    rows = [(i, " ".join(template + fill(rng.choice([2, 4, 6, 9, 12, 15, 30])))) for i in range(150)]
+    got = {r[0]: r[1:] for r in _rows(near_dedup.near_duplicates(make(spark, [(i, t, "en", "a") for i, t in rows])), "doc_id", "n_shingles", "component_id")}
+    assert got == brute.components(rows)
+
+
 # Decontamination
 
 
@@ -93,8 +115,8 @@ def test_contamination_equals_brute_force(spark, vocabulary, odd_rows, monkeypat
         at = rng.randrange(60)
         docs.append((1000 + i, ", ".join(w[:at] + [x.upper() for x in piece] + w[at:])))
     expected = brute.contamination(docs, items)
-    for limit in (decontaminate.BROADCAST_WINDOWS, 0):
-        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", limit)
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
         found = decontaminate.contamination(make(spark, [(i, t, "en", "a") for i, t in docs]), spark.createDataFrame(items, "item_id long, text string"))
         got = {r[0]: r[1:] for r in _rows(found, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")}
         for i, (n, hit, names) in expected.items():
@@ -108,6 +130,11 @@ def test_contamination_of_odd_tables(spark, odd_rows):
     assert decontaminate.contamination(docs, none).where("contaminated").count() == 0
     assert decontaminate.contamination(docs.limit(0), spark.createDataFrame([(1, "a b c")], none.schema)).count() == 0
     assert decontaminate.drop_contaminated(docs, none).count() == len(odd_rows)
+    rows = [(5, "one two three four", "en", "a"), (5, "clean", "en", "a"), (None, "One, two three!", "en", "a"), (None, "clean too", "en", "a"), (7, None, "en", "a"), (5, "clean", "en", "a")]
+    left = decontaminate.drop_contaminated(make(spark, rows), spark.createDataFrame([(1, "two three")], none.schema))
+    assert left.columns == docs.columns and sorted(_rows(left, "doc_id", "text"), key=str) == sorted([(5, "clean"), (5, "clean"), (None, "clean too"), (7, None)], key=str)
+    found = decontaminate.contamination(make(spark, rows), spark.createDataFrame([(1, "two three"), (2, "three four")], none.schema))
+    assert sorted(_rows(found, "doc_id", "n_words", "n_hit", "n_items"), key=str) == sorted([(5, 4, 3, 2), (5, 1, 0, 0), (None, 3, 2, 1), (None, 2, 0, 0), (7, 0, 0, 0), (5, 1, 0, 0)], key=str)
 
 
 # Line and substring dedup

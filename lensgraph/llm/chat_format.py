@@ -10,8 +10,10 @@ messages, and messages are rendered with the template below.  Event kinds:
   messages, which answered the old text;
 * ``regenerate``: drops the last message if it is the assistant's; what follows replaces it.
 
-The hot path streams: tasks get their conversations sorted (Spark's sort
-spills) and keep one message at a time unless a log has edits or regenerations.
+Everything streams: tasks get their conversations sorted (Spark's sort spills),
+the fold holds the last message alone unless a log has edits or regenerations, and
+texts are escaped and read back in blocks of ``BLOCK`` characters by one reader,
+which sees the joined output of a conversation across all turn borders.
 
 Template: ``<s>`` opens a conversation, then each turn is
 ``[INST] <<ROLE>> text [/INST]`` with the role escaped like the text, or
@@ -38,51 +40,140 @@ ANSWER = "[OUT]"
 CONTROL = (BEGIN, END, ASK, ASK_END, ROLE, ROLE_END, ANSWER)
 # End of the fixed values.
 
-_ESCAPED = re.compile(r"\\|(?=" + "|".join(map(re.escape, CONTROL)) + ")")
-#: The first character of a control string, with the backslash that guards it, or an escaped backslash.
+#: Characters that are escaped or read back at a time.
+BLOCK = 1 << 18
+_REACH = max(map(len, CONTROL)) - 1
+#: A backslash, or the first character of a control string.
+_ESCAPED = re.compile(r"\\|" + "|".join(f"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROL))
 _GUARDED = re.compile(r"\\(.)", re.S)
-_TURN = re.compile(r"\[INST\] <<((?:[^\\<>\[]|\\.|[<>\[])*?)>> ((?:[^\\\[]|\\.|\[(?!/INST\]))*) \[/INST\]|\[OUT\] ((?:[^\\<]|\\.|<(?!/s>))*) </s>", re.S)
+
+
+def escaped(text: str) -> Iterator[str]:
+    """The escaped text in blocks.  What a character becomes hangs on the ones after it alone."""
+    sub = lambda x: _ESCAPED.sub(r"\\\g<0>", x)
+    for at in range(0, len(text), BLOCK):
+        end = at + BLOCK
+        after = sub(text[end : end + _REACH])
+        whole = sub(text[at : end + _REACH])
+        yield whole[: len(whole) - len(after)]
 
 
 def escape(text: str) -> str:
-    return _ESCAPED.sub(lambda m: "\\\\" if m.group() else "\\", text)
+    return "".join(escaped(text))
 
 
 def unescape(text: str) -> str:
     return _GUARDED.sub(r"\1", text)
 
 
-def render_turn(role: str, text: str) -> str:
-    if role == "assistant":
-        return f"{ANSWER} {escape(text)} {END}"
-    return f"{ASK} {ROLE}{escape(role)}{ROLE_END} {escape(text)} {ASK_END}"
+def render_pieces(turns: Iterable[tuple[str, str]]) -> Iterator[str]:
+    """The output in pieces of at most about BLOCK characters."""
+    yield BEGIN
+    for role, text in turns:
+        if role == "assistant":
+            yield f"{ANSWER} "
+            yield from escaped(text)
+            yield f" {END}"
+        else:
+            yield f"{ASK} {ROLE}{escape(role)}{ROLE_END} "
+            yield from escaped(text)
+            yield f" {ASK_END}"
 
 
 def render(turns: Iterable[tuple[str, str]]) -> str:
-    return BEGIN + "".join(render_turn(*t) for t in turns)
+    return "".join(render_pieces(turns))
+
+
+class Reader:
+    """Reads an output back piece by piece, with nothing but the characters that may still belong together in memory.
+
+    ``feed`` yields ("open", role, place), then ("text", part, None) for each part
+    of the text, unescaped, and ("close", None, place) for each turn; places are
+    those of the text's first character and of the one after its last.  No control
+    string stands in an escaped text, so its end is the first one after a blank.
+    """
+
+    def __init__(self) -> None:
+        self.rest, self.place, self.state = "", 0, "begin"
+
+    def _take(self, n: int) -> str:
+        taken, self.rest = self.rest[:n], self.rest[n:]
+        self.place += n
+        return taken
+
+    def _opened(self) -> str | None:
+        """The role of the turn that begins here, or None if too little is known of it yet."""
+        if self.rest.startswith(ANSWER + " "):
+            self._take(len(ANSWER) + 1)
+            return "assistant"
+        head = f"{ASK} {ROLE}"
+        if not self.rest.startswith(head):
+            if any(x.startswith(self.rest) for x in (head, ANSWER + " ")):
+                return None
+            raise ValueError(f"no turn at {self.place}")
+        at = self.rest.find(ROLE_END + " ", len(head))
+        while at >= 0 and (at - len(self.rest[:at].rstrip("\\"))) % 2:
+            at = self.rest.find(ROLE_END + " ", at + 1)
+        if at < 0:
+            return None
+        return unescape(self._take(at + len(ROLE_END) + 1)[len(head) : at])
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str | None, int | None]]:
+        self.rest += piece
+        while self.rest:
+            if self.state == "begin":
+                if not self.rest.startswith(BEGIN):
+                    if BEGIN.startswith(self.rest):
+                        return
+                    raise ValueError("a conversation has to begin with " + BEGIN)
+                self._take(len(BEGIN))
+                self.state = "between"
+            elif self.state == "between":
+                role = self._opened()
+                if role is None:
+                    return
+                self.state = f" {END if role == 'assistant' else ASK_END}"
+                yield "open", role, self.place
+            else:
+                at = self.rest.find(self.state)
+                known = at if at >= 0 else max(0, len(self.rest) - len(self.state) + 1)
+                # A backslash and what it guards stay together.
+                if at < 0 and (known - len(self.rest[:known].rstrip("\\"))) % 2:
+                    known -= 1
+                if known:
+                    yield "text", unescape(self._take(known)), None
+                if at < 0:
+                    return
+                yield "close", None, self.place
+                self._take(len(self.state))
+                self.state = "between"
+
+    def end(self) -> None:
+        if self.rest or self.state != "between":
+            raise ValueError(f"the output ends inside a turn at {self.place}")
 
 
 def read_back(formatted: str) -> Iterator[tuple[str, str, tuple[int, int] | None]]:
     """(role, text, span of the loss mask in ``formatted`` or None) of each turn."""
-    at = len(BEGIN)
-    if not formatted.startswith(BEGIN):
-        raise ValueError("a conversation has to begin with " + BEGIN)
-    while at < len(formatted):
-        m = _TURN.match(formatted, at)
-        if m is None:
-            raise ValueError(f"no turn at {at}")
-        if m.group(3) is not None:
-            yield "assistant", unescape(m.group(3)), m.span(3)
-        else:
-            yield unescape(m.group(1)), unescape(m.group(2)), None
-        at = m.end()
+    reader, parts, role, begin = Reader(), [], "", 0
+    for at in range(0, max(1, len(formatted)), BLOCK):
+        for kind, value, place in reader.feed(formatted[at : at + BLOCK]):
+            if kind == "open":
+                parts, role, begin = [], value, place
+            elif kind == "text":
+                parts.append(value)
+            else:
+                yield role, "".join(parts), (begin, place) if role == "assistant" else None
+    reader.end()
 
 
-def fold(events: Iterable[tuple[str, str | None, str | None, int | None]]) -> Iterator[tuple[str, str]]:
+def fold(events: Iterable[tuple[str, str | None, str | None, int | None]], settled: bool = False) -> Iterator[tuple[str, str]]:
     """Final (role, text) messages of (kind, role, text, target) events in order.
 
-    Null role: ``user``.  Null text: empty.  Unknown kinds and edits of messages
-    that do not exist are errors.
+    A ``settled`` log has messages and deltas alone, so that all messages but the
+    last are final and leave at once.  Null role: ``user``.  Null text: empty.
+    Unknown kinds, edits of messages that do not exist, and changes in a settled
+    log are errors.
     """
     messages: list[tuple[str, list[str], bool]] = []
     for kind, role, text, target in events:
@@ -94,6 +185,8 @@ def fold(events: Iterable[tuple[str, str | None, str | None, int | None]]) -> It
                 messages[-1][1].append(text)
             else:
                 messages.append((role, [text], True))
+        elif settled:
+            raise ValueError(f"{kind} in a settled log")
         elif kind == "edit":
             if target is None or not 0 <= target < len(messages):
                 raise ValueError(f"no message {target} to edit")
@@ -104,28 +197,38 @@ def fold(events: Iterable[tuple[str, str | None, str | None, int | None]]) -> It
                 messages.pop()
         else:
             raise ValueError(f"unknown event {kind}")
+        if settled and len(messages) > 1:
+            done = messages.pop(0)
+            yield done[0], "".join(done[1])
     for role, parts, _ in messages:
         yield role, "".join(parts)
 
 
 class _Digest:
-    """What is read back from one conversation's output, turn by turn."""
+    """What is read back from one conversation's output, piece by piece."""
 
     def __init__(self, conv_id: int | None):
-        self.conv_id, self.n, self.loss, self.chars = conv_id, 0, 0, len(BEGIN)
-        self.turns, self.masked = hashlib.sha256(), hashlib.sha256()
-
-    def add(self, role: str, text: str) -> None:
-        out = render_turn(role, text)
-        self.chars += len(out)
-        for role, text, mask in read_back(BEGIN + out):
-            self.n += 1
-            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-            if mask is not None:
-                self.loss += len(text)
-                self.masked.update(text.encode("utf-8", "surrogatepass"))
+        self.conv_id, self.n, self.loss, self.chars, self.masks = conv_id, 0, 0, 0, False
+        self.turns, self.masked, self.reader = hashlib.sha256(), hashlib.sha256(), Reader()
+
+    def add(self, piece: str) -> None:
+        self.chars += len(piece)
+        for kind, value, _ in self.reader.feed(piece):
+            if kind == "close":
+                self.turns.update(b"\n")
+                continue
+            raw = value.encode("utf-8", "surrogatepass")
+            if kind == "open":
+                self.n, self.masks = self.n + 1, value == "assistant"
+                self.turns.update(raw + b"\n")
+            else:
+                self.turns.update(raw)
+                if self.masks:
+                    self.loss += len(value)
+                    self.masked.update(raw)
 
     def row(self) -> tuple:
+        self.reader.end()
         return self.conv_id, self.n, self.turns.hexdigest(), self.loss, self.masked.hexdigest(), self.chars
 
 
@@ -135,42 +238,33 @@ _TEXT_SCHEMA = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), (
 
 def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
 
 
-def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Iterator[tuple]]]:
-    """(conv_id, its events) of a sorted partition; events have to be used up in turn."""
+def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Iterator[tuple[str, str]]]]:
+    """(conv_id, its messages) of a sorted partition; messages have to be used up in turn."""
     rows = _events(batches)
     row = next(rows, None)
     while row is not None:
-        conv = row[0]
+        conv, settled = row[:2]
 
         def own() -> Iterator[tuple]:
             nonlocal row
             while row is not None and row[0] == conv:
-                yield row[1:]
+                event, row = row[2:], None
+                yield event
                 row = next(rows, None)
 
-        yield conv, own()
-
-
-def _plain(events: Iterator[tuple]) -> Iterator[tuple[str, str]]:
-    """Messages as they come while all events are whole messages; from the first other event on, the log is folded."""
-    for final, kind, role, text, target in events:
-        if final:
-            yield role or "user", text or ""
-        else:
-            rest = ((k, r, x, t) for _, k, r, x, t in events)
-            yield from fold((e for part in ([(kind, role, text, target)], rest) for e in part))
-            return
+        yield conv, fold(own(), settled)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
-    for conv, events in _conversations(batches):
+    for conv, messages in _conversations(batches):
         digest = _Digest(conv)
-        for role, text in _plain(events):
-            digest.add(role, text)
+        for piece in render_pieces(messages):
+            digest.add(piece)
         rows.append(digest.row())
         if len(rows) >= 2000:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
@@ -180,25 +274,35 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for conv, events in _conversations(batches):
-        out = render(_plain(events))
-        spans = [list(mask) for _, _, mask in read_back(out) if mask]
-        yield pa.RecordBatch.from_arrays([pa.array([conv], pa.int64()), pa.array([out]), pa.array([spans], _TEXT_SCHEMA.field(2).type)], schema=_TEXT_SCHEMA)
+    for conv, messages in _conversations(batches):
+        reader, parts, spans, masks = Reader(), [], [], False
+        for piece in render_pieces(messages):
+            parts.append(piece)
+            for kind, value, place in reader.feed(piece):
+                if kind == "open":
+                    masks = value == "assistant"
+                    if masks:
+                        spans.append([place, place])
+                elif kind == "close" and masks:
+                    spans[-1][1] = place
+        reader.end()
+        yield pa.RecordBatch.from_arrays([pa.array([conv], pa.int64()), pa.array(["".join(parts)]), pa.array([spans], _TEXT_SCHEMA.field(2).type)], schema=_TEXT_SCHEMA)
 
 
 def _sorted_log(log: DataFrame) -> DataFrame:
-    """Conversations whole and in order; a row is final if its log has whole messages alone."""
+    """Conversations whole and in order; ``settled`` says that a log has no edits and no regenerations."""
     columns = set(log.columns)
     optional = lambda name, default: F.col(name) if name in columns else default
-    kinds = optional("kind", F.lit("message"))
-    picked = log.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), kinds.alias("kind"), F.col("role"), F.col("text"), optional("target", F.lit(None)).cast("int").alias("target"))
+    picked = log.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), optional("kind", F.lit("message")).alias("kind"), F.col("role"), F.col("text"), optional("target", F.lit(None)).cast("int").alias("target")
+    )
     if "kind" in columns:
-        changed = picked.where("kind != 'message'").select(F.col("conv_id").alias("__changed")).distinct()
-        picked = picked.join(changed, F.col("conv_id").eqNullSafe(F.col("__changed")), "left").withColumn("final", F.col("__changed").isNull())
+        changed = picked.where("kind NOT IN ('message', 'delta')").select(F.col("conv_id").alias("changed")).distinct()
+        picked = picked.join(changed, F.col("conv_id").eqNullSafe(F.col("changed")), "left").withColumn("settled", F.col("changed").isNull())
     else:
-        picked = picked.withColumn("final", F.lit(True))
+        picked = picked.withColumn("settled", F.lit(True))
     n = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return picked.repartition(n, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "final", "kind", "role", "text", "target")
+    return picked.repartition(n, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "settled", "kind", "role", "text", "target")
 
 
 def digests(log: DataFrame) -> DataFrame:
@@ -208,7 +312,9 @@ def digests(log: DataFrame) -> DataFrame:
     events other than messages.  Null kind is not allowed; null role: user; null
     text: empty; null turns come first; rows of a null conv_id are one
     conversation.  Ties in turn are ordered by role and text, and repeated rows
-    are repeated turns.  An empty log gives no rows; other columns are not looked at.
+    are repeated turns.  A task holds one message at a time, however long; of
+    logs with edits or regenerations it holds the conversation.  An empty log gives no
+    rows; other columns are not looked at, whatever their names.
     """
     return _sorted_log(log).mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

@@ -45,6 +45,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table as an event log: each row is one whole message.
     log = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat_format.digests(log.unionByName(spark.createDataFrame(chat_format.CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")))
 

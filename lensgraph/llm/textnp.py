@@ -68,17 +68,23 @@ class Words:
         self.bounds[-1] = len(self.starts)
         self._sums: np.ndarray | None = None
 
-    def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A hash of each byte span, the same wherever the span lies."""
-        if self._sums is None:
-            n = len(self.raw)
-            weighted = _BYTE[self.raw] * _power_table(_BASE, n)[:n]
-            self._sums = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(weighted, out=self._sums[1:])
+    def _running(self, raw: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[raw] * _power_table(_BASE, len(raw))[: len(raw)], out=sums[1:])
+        return sums
+
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
+        """A hash of each byte span, the same wherever the span lies; ``fold`` maps the bytes first."""
         if not len(starts):
             return np.zeros(0, dtype=np.uint64)
+        if fold is not None:
+            sums = self._running(fold[self.raw])
+        elif self._sums is None:
+            sums = self._sums = self._running(self.raw)
+        else:
+            sums = self._sums
         inverse = _power_table(_BASE_INV, int(starts[-1]) + 1)
-        return mix((self._sums[ends] - self._sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
     @property
     def hashes(self) -> np.ndarray:

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -8,6 +9,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from lensgraph.llm import chat_format, components, decontaminate, language_id, line_dedup, mixing, near_dedup, pitman_yor, quality_fm, quality_rules, queries, substring_dedup, textnp
 from lensgraph.llm.session import id_remainder
@@ -242,7 +244,7 @@ def test_quality_rules_equal_brute_force(spark, odd_rows, vocabulary):
 
 def test_line_rules():
     fails = lambda s: quality_rules.line_fails(s.encode(), len(s.split()), sum(c in "#*$%&|<>" for c in s))
-    assert fails("Home | About | Contact") and fails("All rights reserved.") and fails("a &&& b$$$ c### d***") and fails("WE!! ARE!! SO!! GOOD!!")
+    assert fails("Home | About | Contact") and fails("Accueil · À propos · Contact") and fails("All rights reserved.") and fails("a &&& b$$$ c### d***") and fails("WE!! ARE!! SO!! GOOD!!")
     assert not fails("This is a sentence.") and not fails("") and not fails("A heading") and fails("w " * 45)
 
 
@@ -260,6 +262,40 @@ def test_line_rules_for_licences_menus_and_line_ends():
         assert not fails(prose + end), end
 
 
+def test_long_lines_take_linear_time():
+    """A line of a million blanks, and one of a million separators."""
+    for text in (b" " * 10**6 + b"home", b"| " * 10**6, b"a" * 10**6):
+        assert quality_rules._measured([text], np.zeros(0, np.uint64))[0][5]
+
+
+def test_quality_verdicts_equal_a_plain_version(spark, vocabulary):
+    """Lines of many contexts, copies of a document, menus in lines, lost documents."""
+    rng = random.Random(17)
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n)) + "."
+    footer, copy = "Read More On Page 1 of 20", "\n".join(prose(12) for _ in range(3))
+    rows = [(i, "\n".join([prose(15), prose(12), footer.replace("1", str(i)), prose(rng.randint(3, 20)), *(rng.choice([["Ein", "Zwei drei", "Vier", "", "Fuenf"], ["Ein", "Zwei"], []])), *(["no end " * 12] * rng.randint(0, 4))])) for i in range(40)]
+    rows += [(100 + i, copy) for i in range(30)] + [(200, None), (201, ""), (202, footer)]
+    fold = lambda x: re.sub("[0-9]", "0", brute.lower(x.strip()))
+    filled = {i: [x for x in (t or "").split("\n") if x.strip()] for i, t in rows}
+    places = {}
+    for lines in filled.values():
+        for j, x in enumerate(lines):
+            if 3 <= len(x.split()) <= 40:
+                places.setdefault(fold(x), set()).add((fold(lines[j - 1]) if j else "", fold(lines[j + 1]) if j + 1 < len(lines) else ""))
+    common = {x for x, at in places.items() if len(at) >= 10}
+    assert fold(footer.replace("1", "39")) in common and not {fold(x) for x in copy.split("\n")} & common
+    got = {r[0]: r[1:] for r in _rows(quality_rules.clean_documents(make(spark, [(i, t, "en", "a") for i, t in rows])), "doc_id", "base_failed", "kept", "n_failed_lines", "clean_text")}
+    for i, t in rows:
+        lines = filled[i]
+        short = ["x" if len(x.split()) <= 3 and x.rstrip()[-1] not in ".!?:;" else "-" for x in lines]
+        menu = {k for m in re.finditer("x{4,}", "".join(short)) for k in range(*m.span())}
+        bad = {j for j, x in enumerate(lines) if j in menu or fold(x) in common or quality_rules.line_fails(x.encode(), len(x.split()), 0)}
+        chars = lambda part: sum(len(w) for x in part for w in x.split())
+        kept = not got[i][0] and chars(lines[j] for j in bad) <= 0.5 * chars(lines)
+        assert got[i][1:3] == (kept, len(bad)) and [x for x in (got[i][3] or "").split("\n") if x.strip()] == [x for j, x in enumerate(lines) if j not in bad], i
+    assert {got[i][1] for i in range(40)} == {True, False} and got[100][2] == 0 and got[200][3] is None
+
+
 # Mixing
 
 
@@ -301,6 +337,33 @@ def test_mix(spark, vocabulary, monkeypatch):
         assert g.source_size.iloc[0] == g["size"].sum() and abs(g.taken.sum() - g.target.iloc[0]) <= 0.03 * g.target.iloc[0] + 64
 
 
+def test_mix_equals_a_plain_version(spark, odd_rows, vocabulary):
+    """Word by word, on one shard a source: nulls, empty texts, repeated rows, tiny sources."""
+    rng = random.Random(9)
+    rows = [*odd_rows, odd_rows[3], odd_rows[3], (300, "a b c", "en", "tiny")] + [(400 + i, " ".join(rng.choice(vocabulary) for _ in range(40)), "en", "c") for i in range(60)]
+    docs = make(spark, rows)
+    place = {(r[0], r[1]): r[2] for r in docs.select("doc_id", "text", F.xxhash64(F.lit(mixing.SEED), "doc_id", "text")).collect()}
+    sources = sorted({r[3] for r in rows}, key=lambda x: (x is None, x or ""))
+    words = [sum(len(brute.words(t)) for _, t, _, x in rows if x == name) for name in sources]
+    goal = mixing.targets(np.array(words), np.array([(3.0, 1.0, 2.0)[i % 3] for i in range(len(sources))]), 1.5 * sum(words))
+    block = max(16, min(256, min(w for w in words if w) // 64))
+    blocks = [-(-w // block) for w in words]
+    seats = _one_by_one(goal.tolist(), round(sum(goal) / block), [2 * b for b in blocks])
+    turns = [r[0] for r in spark.createDataFrame([(i, 0) for i in range(len(sources))], "p int, s long").select(F.xxhash64(F.lit(mixing.SEED + 2), "p", "s")).collect()]
+    expected = []
+    for i, name in enumerate(sources):
+        at, b = 0, max(1, blocks[i])
+        more = lambda x: (x * (seats[i] % b) + turns[i] % b) // b  # noqa: B023,E731
+        own = [(d, t, len(brute.words(t))) for d, t, _, x in rows if x == name]
+        for d, t, n in sorted(own, key=lambda r: (place[r[0], r[1]], r[0] is not None, r[0] or 0)):
+            expected.append((d, n, words[i], round(goal[i], 6), sum(seats[i] // b + more(p // block + 1) - more(p // block) for p in range(at, at + n))))
+            at += n
+    got = [(*r[:3], round(r[3], 6), r[4]) for r in _rows(mixing.mix(docs), "doc_id", "size", "source_size", "target", "taken")]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    for i, name in enumerate(sources):
+        assert abs(seats[i] * block - goal[i]) <= 2 * block
+
+
 def test_mix_of_odd_rows(spark, odd_rows):
     assert mixing.mix(make(spark, odd_rows)).count() == len(odd_rows)
     assert mixing.mix(make(spark, odd_rows).limit(0)).count() == 0

@@ -1,6 +1,9 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from lensgraph.llm import decontaminate
+from lensgraph.llm import decontaminate, mixing
 from tests.llm import brute
+from tests.llm.conftest import make
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -24,7 +27,25 @@ def test_stages(spark, tmp_path):
             bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
             assert decontaminate.contamination(docs, bench).where("contaminated").count() == 0
     assert seen == sorted(seen, reverse=True) and seen[-1] > 0.5 * first
-    assert docs.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert docs.columns == [*before.columns, "size", "source_size", "target", "taken"] and seen[-1] == seen[-2]
+    mixed = {tuple(r) for r in mixing.mix(before).collect()}
+    assert mixed == {tuple(r) for r in docs.select("doc_id", "size", "source_size", "target", "taken").collect()}
+    assert {(r[0], r[1]) for r in before.select("doc_id", "text").collect()} == {(r[0], r[1]) for r in docs.select("doc_id", "text").collect()}
+
+
+def test_stages_on_odd_rows(spark, odd_rows):
+    """Nulls in every column, empty and long texts, repeated rows, ties, clashing names, and an empty table."""
+    clash = {"row": 1, "id": 2, "gone": 3, "th": 4, "bad": 5, "__row": 6, "__id": 7, "taken2": 8, "place": 9, "nth": 10, "share": 11}
+    docs = make(spark, [*odd_rows, odd_rows[3], (None, None, None, None)], extra=False)
+    docs = docs.select("*", *(F.lit(v).alias(k) for k, v in clash.items()))
+    full = spark.createDataFrame([], docs.schema).union(docs)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, full, SMALL)
+        last = name == corpus_pipeline.STAGES[-1][0]
+        assert out.columns[: len(docs.columns)] == docs.columns and (last or len(out.columns) == len(docs.columns))
+        rows = out.collect()
+        assert (len(rows) == full.count() if last else 0 < len(rows) <= full.count()) and all(r[k] == v for r in rows for k, v in clash.items())
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
 def test_run(spark):

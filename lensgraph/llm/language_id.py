@@ -165,20 +165,22 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -> Mod
 
 
 def train(docs: DataFrame, learnable: Column, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model | None:
-    """Fits on a sample of the ``learnable`` rows, drawn by hash of the id and bounded for each language."""
+    """Fits on a sample of the ``learnable`` rows, drawn by hash of id and text and bounded for each language; repeated rows count once."""
     known = docs.where(learnable & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
-    place = F.pmod(F.xxhash64(F.lit(SEED), F.col(id_column)), F.lit(1 << 30))
+    # Rows that repeat id and text have one place and are one row of the sample, however many they are.
+    place = F.pmod(F.xxhash64(F.lit(SEED), F.col(id_column), F.col(text_column)), F.lit(1 << 30))
     # The least place of a row with a letter, so that each language has one row at least.
     least = F.min(F.when(F.col(text_column).rlike(r"\p{L}"), place))
-    counts = known.groupBy(F.col(lang_column).alias("lang")).agg(F.count("*").alias("n"), F.coalesce(least, F.lit(-1)).alias("least")).limit(MAX_LANGS + 1).collect()
+    counts = known.groupBy(F.col(lang_column).alias("lang")).agg(F.approx_count_distinct(place).alias("n"), F.coalesce(least, F.lit(-1)).alias("least")).limit(MAX_LANGS + 1).collect()
     if not counts:
         return None
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages in {lang_column}, which one model cannot hold")
     each = min(ROWS_PER_LANG, SAMPLE_ROWS // len(counts))
-    limits = [(r["lang"], max(int(min(1.0, each / r["n"]) * (1 << 30)), r["least"] + 1)) for r in counts]
+    limits = [(r["lang"], max(int(min(1.0, each / max(1, r["n"])) * (1 << 30)), r["least"] + 1)) for r in counts]
     upto = docs.sparkSession.createDataFrame(limits, "__lang string, __upto long")
-    sample = known.join(F.broadcast(upto), F.col(lang_column) == F.col("__lang")).where(place < F.col("__upto")).select(F.col("__lang").alias("lang"), F.col(text_column).alias("text"))
+    sample = known.join(F.broadcast(upto), F.col(lang_column) == F.col("__lang")).where(place < F.col("__upto")).select(F.col("__lang").alias("lang"), place.alias("place"), F.col(text_column).alias("text"))
+    sample = sample.groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
     found = sample.mapInArrow(_count, "lang string, buckets array<int>, counts array<int>").toArrow()
     if not found.num_rows:
         return None
@@ -221,7 +223,7 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
     """(doc_id, held_out, lang_pred, score, rejected) for each row of ``docs``.
 
     Null texts and texts without a letter: ``und``, score 0, rejected.  Without a
-    model all rows are so.  Texts with letters always get a learned language;
+    model all rows are so, and an empty table gives no rows.  Texts of any length are read whole.  Texts with letters always get a learned language;
     ``rejected`` says that the calibrated score is below the threshold.  Ties go
     to the first language in code point order.  A null id is not held out;
     repeated rows give repeated rows; other columns are not looked at.
@@ -232,7 +234,11 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
 
 
 def drop_unknown(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is told with enough confidence, all columns as they are."""
+    """The rows of ``docs`` whose language is told with enough confidence, all columns as they are.
+
+    Null texts and texts without a letter go; null ids are learned from.  Ties,
+    repeated rows, long texts, empty tables and clashing names as in ``identify``.
+    """
     model = train(docs, F.coalesce(id_remainder("doc_id", 4) != 2, F.lit(True)))
     n = len(docs.columns)
     positional = docs.toDF(*(f"c{i}" for i in range(n)))

@@ -130,7 +130,9 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column) -> Model:
     n = usable.count()
     place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30))
     sample = usable.where(place < int(min(1.0, TRAIN_ROWS / max(1, n)) * (1 << 30)))
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(_collect, "label int, index array<int>, value array<float>").toArrow()
+    # One text an id, that of the smallest hash, however often an id or a row is repeated.
+    once = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    found = once.select("label", "text").mapInArrow(_collect, "label int, index array<int>, value array<float>").toArrow()
     columns = zip(found["label"].to_pylist(), textnp.lists(found["index"]), textnp.lists(found["value"]), strict=True) if found.num_rows else ()
     rows = [(int(y > 0), i, x) for y, i, x in columns]
     rows.sort(key=lambda r: (textnp.mix_int(int(r[1].sum())), float(r[2].sum()), r[0]))
@@ -150,9 +152,11 @@ def _scorer(model: Model):
 def quality(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs``.
 
-    Null and empty texts are scored from their statistics, which are all zero.
-    A null id is not held out; repeated rows give repeated rows; other columns
-    are not looked at.  Without any labelled row the model scores 0.5 or near it.
+    Null and empty texts are scored from their statistics, which are all zero;
+    texts of any length are read whole.  A null id is not held out; repeated rows
+    give repeated rows, equal texts equal scores; other columns are not looked at,
+    whatever their names.  An empty table gives no rows.  Without any labelled row the
+    model scores 0.5 or near it.
     """
     held = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text").mapInArrow(_scorer(model), "doc_id long, held_out boolean, score double, predicted int")

@@ -5,13 +5,12 @@ Every stage is written as Parquet and read again as the next one's documents.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lensgraph.llm import decontaminate, language_id, line_dedup, mixing, near_dedup
-from lensgraph.llm.session import table
+from lensgraph.llm.session import shared_folder, table
 
 
 def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +19,7 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go; documents that nothing is left of go with them."""
+    """Repeated runs of lines go; documents that nothing is left of go with them."""
     return line_dedup.clean_documents(docs)
 
 
@@ -35,8 +34,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
-    return mixing.mix(docs)
+    """Every document with how many of its words the mix takes (taken), its size and its source's size and target."""
+    return mixing.add_taken(docs)
 
 
 STAGES = [
@@ -52,9 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn; what they write lies in the folder of spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="pipeline-")
-    folder = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """The stages in turn; what they write lies in the shared folder of spark.checkpoint.dir.
+
+    Rows with null, empty or very long texts, null and repeated ids, repeated rows,
+    ties, empty tables and other columns of any name are handled as each stage's
+    operator states; every stage looks at all that its predecessor kept.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: A share of a key that meets several rows has so many rows at least: the other side is repeated for each share.
+SHARE_ROWS = 4096
 #: A key is hot if it makes up more than one in so many rows, so there are fewer hot keys than that.
 HOT = 1000
 
@@ -60,7 +62,7 @@ def join_dealt(rows: DataFrame, others: DataFrame, on: list[str], counts: DataFr
 
     As in ``join_with_hot``, the rows of a hot key are dealt over shares, and the others of that key are repeated for each share.
     """
-    limit = (counts.agg(F.sum(count)).first()[0] or 0) // HOT + 1
+    limit = max(SHARE_ROWS, (counts.agg(F.sum(count)).first()[0] or 0) // HOT + 1)
     hot = F.broadcast(counts.where(F.col(count) > limit).select(*on, F.ceil(F.col(count) / limit).cast("int").alias("__shares")))
     shares = F.coalesce("__shares", F.lit(1))
     left = rows.withColumn("__row", F.xxhash64(*rows.columns)).join(hot, on, "left").withColumn("__share", F.pmod("__row", shares).cast("int")).drop("__row", "__shares")

@@ -1,26 +1,28 @@
 """Word probabilities from a hierarchical Pitman-Yor process.
 
 Two levels of restaurants over a uniform base of V + 1 outcomes, one of which is
-any unknown word: the unigram restaurant, and ``CONTEXTS`` context restaurants
-that share it as their parent.  A token's context is a hash of the last two bytes
-of the word before it, or the start of the text; the customers of a context are
-all training tokens after such words.
+any unknown word: the unigram restaurant, and a restaurant for each word before,
+or the start of the text, that shares it as its parent.  Words before are told
+apart by 16 bits of their hash, so there are ``CONTEXTS`` restaurants at most, and
+words that fall together share one; sections, the (context, word) pairs that
+occur, grow with the corpus.
 
 Seating is sampled by Gibbs sweeps: each sweep seats the customers of every
-(context, word) section anew, one after the other, given the parent's current
-probability of the word and the tables of all other sections as of the sweep
-before; the tables become the parent's customers, which are seated in the same
-way.  Once seated customers are many, the next eighth of their number is seated
-by one binomial draw.  Given those restaurant totals, a word's sections depend on
-that word alone, so the corpus is split by word, a sweep is a map over the word
-partitions, and only the restaurants' totals (CONTEXTS + 1 rows) are brought
-together.  ``BURN_IN`` sweeps are dropped and the predictive probabilities of the
-next ``SAMPLES`` are averaged.  Discounts follow the counts of counts.
-
-Words are 56-bit hashes.  Tokens never move: a *batch* of documents asks each
+section anew, one after the other, given the parent's current probability of the
+word and the tables of all other sections as of the sweep before; the tables become
+the parent's customers, which are seated in the same way.  Once seated customers
+are many, the next eighth of their number is seated by one binomial draw.  Given the
+restaurants' totals, a word's sections depend on that word alone, so the corpus
+is split by word, a sweep is a map over the word partitions, and only the totals
+(CONTEXTS + 2 rows) are brought together.  ``BURN_IN`` sweeps are dropped and the
+predictive probabilities of the next ``SAMPLES`` are averaged.  Discounts follow the
+counts of counts.
+
+Words are 48-bit hashes.  Tokens never move: a *batch* of documents asks each
 word partition for the distinct (word, context) pairs it needs, and documents are
-grouped by batch once, to meet the answers.  Batches hold about ``BATCH_BYTES`` of
-text and word partitions about as many pairs as a batch, whatever the corpus.
+grouped by batch once, to meet the answers.  Batches are ranges of id and text hash,
+so no id is too much for one; they hold about ``BATCH_BYTES`` of text, and word
+partitions about as many pairs as a batch, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -37,30 +39,26 @@ from pyspark.sql import functions as F
 from lensgraph.llm import textnp
 from lensgraph.llm.session import cut, id_remainder
 
-CONTEXTS = 32
+CONTEXTS = 1 << 16
 BATCH_BYTES = 12 << 20
-BURN_IN, SAMPLES = 1, 2
-STRENGTH_CONTEXT, STRENGTH_WORD = 20.0, 10.0
+BURN_IN, SAMPLES = 2, 3
+STRENGTH_CONTEXT, STRENGTH_WORD = 1.0, 10.0
 SEED = 1987
 _U = np.uint64
-_LOW = _U(0xFF)
-_END = _U(0x5EED5EED5EED5E00)
+_LOW = _U(CONTEXTS - 1)
+_END = _U(0x5EED5EED5EED0000)
 
 
 def token_keys(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, bounds): a key holds a token's word (upper 56 bits) and its context (lower 8); the end counts as a token."""
+    """(keys, bounds): a key holds a token's word (upper 48 bits) and its context (lower 16); the end counts as a token."""
     words = textnp.Words(texts)
-    n = len(texts)
-    starts, ends, raw = words.starts, words.ends, words.raw
-    last = raw[ends - 1].astype(np.uint32) if len(ends) else np.zeros(0, np.uint32)
-    before = np.where(ends - starts > 1, raw[ends - 2], 0).astype(np.uint32) if len(ends) else last
-    after = (((last << np.uint32(8)) | before) * np.uint32(2654435761)) >> np.uint32(16)
-    after = (after % np.uint32(CONTEXTS - 1)).astype(np.uint64) + _U(1)
+    n, hashes = len(texts), words.hashes
+    after = textnp.mix(hashes) % _U(CONTEXTS - 1) + _U(1)
     sizes = np.diff(words.bounds)
     bounds = words.bounds + np.arange(n + 1)
-    place = np.arange(len(starts)) + np.repeat(np.arange(n), sizes)
-    keys = np.full(len(starts) + n, _END, dtype=np.uint64)
-    keys[place] = words.hashes & ~_LOW
+    place = np.arange(len(words.starts)) + np.repeat(np.arange(n), sizes)
+    keys = np.full(len(words.starts) + n, _END, dtype=np.uint64)
+    keys[place] = hashes & ~_LOW
     context = np.zeros(len(keys), dtype=np.uint64)
     context[place + 1] = after
     return keys | context, bounds
@@ -111,7 +109,7 @@ def _counter(parts: int, edges: np.ndarray):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["part", "batch", "payload"])
 
         for batch in batches:
-            of = np.searchsorted(edges, batch.column(0).fill_null(-(1 << 63)).to_numpy(), side="right")
+            of = np.searchsorted(edges, batch.column(0).to_numpy(), side="right")
             trained = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for first, last, texts in textnp.chunks(batch, "text"):
                 keys, bounds = token_keys(texts)
@@ -220,14 +218,15 @@ def _sweeper(totals: Totals, sweep: int):
                 *_, (tables, guests, upper, _) = own.chain(totals, sweep)
                 by = lambda x: np.bincount(own.context, x, minlength=CONTEXTS).astype(np.int64)
                 words = own.word_counts
+                met = np.unique(own.context)
                 columns = [
-                    [*range(CONTEXTS), -1, -2],
-                    [*by(own.counts), guests.sum(), words.sum()],
-                    [*by(tables), upper.sum(), len(words)],
-                    [*by(own.counts == 1), (guests == 1).sum(), (words == 1).sum()],
-                    [*by(own.counts == 2), (guests == 2).sum(), (words == 2).sum()],
+                    [met, [-1, -2]],
+                    [by(own.counts)[met], [guests.sum(), words.sum()]],
+                    [by(tables)[met], [upper.sum(), len(words)]],
+                    [by(own.counts == 1)[met], [(guests == 1).sum(), (words == 1).sum()]],
+                    [by(own.counts == 2)[met], [(guests == 2).sum(), (words == 2).sum()]],
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(c, dtype=np.int64)) for c in columns], names=["restaurant", "customers", "tables", "ones", "twos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in columns], names=["restaurant", "customers", "tables", "ones", "twos"])
 
     return run
 
@@ -236,14 +235,20 @@ def sample(merged: DataFrame) -> Totals:
     """Runs the sweeps; the driver sees CONTEXTS + 2 rows after each."""
     totals = Totals(0, 0, 0.5, 0.5, np.zeros(CONTEXTS))
     for s in range(BURN_IN + SAMPLES + 1):
-        rows = merged.mapInArrow(_sweeper(totals, s), "restaurant long, customers long, tables long, ones long, twos long").groupBy("restaurant").agg(*(F.sum(c).alias(c) for c in ("customers", "tables", "ones", "twos"))).collect()
-        found = {r[0]: r[1:] for r in rows}
-        get = lambda u: found.get(u, (0, 0, 0, 0))  # noqa: E731,B023
+        found = merged.mapInArrow(_sweeper(totals, s), "restaurant long, customers long, tables long, ones long, twos long").groupBy("restaurant").agg(*(F.sum(c).alias(c) for c in ("customers", "tables", "ones", "twos"))).toArrow()
+        at = found["restaurant"].to_numpy()
+        columns = {c: found[c].to_numpy() for c in ("customers", "tables", "ones", "twos")}
+
+        def of_contexts(c: str) -> np.ndarray:
+            out = np.zeros(CONTEXTS)
+            out[at[at >= 0]] = columns[c][at >= 0]  # noqa: B023
+            return out
+
+        one = lambda restaurant, c: float(columns[c][at == restaurant].sum())  # noqa: E731,B023
         if not s:
-            ones, twos = sum(get(u)[2] for u in range(CONTEXTS)), sum(get(u)[3] for u in range(CONTEXTS))
             discount = lambda a, b: float(min(0.95, max(0.05, a / (a + 2 * b)))) if a else 0.5
-            totals = Totals(get(-2)[0], get(-2)[1], discount(ones, twos), discount(get(-1)[2], get(-1)[3]), np.array([float(get(u)[0]) for u in range(CONTEXTS)]))
-        state = (np.array([float(get(u)[1]) for u in range(CONTEXTS)]), float(get(-1)[0]), float(get(-1)[1]))
+            totals = Totals(int(one(-2, "customers")), int(one(-2, "tables")), discount(of_contexts("ones").sum(), of_contexts("twos").sum()), discount(one(-1, "ones"), one(-1, "twos")), of_contexts("customers"))
+        state = (of_contexts("tables"), one(-1, "customers"), one(-1, "tables"))
         totals = Totals(totals.tokens, totals.words, totals.discount_context, totals.discount_word, totals.customers, (*totals.sweeps, state))
     return totals
 
@@ -338,32 +343,34 @@ def score(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
     Learns from the rows where ``learn`` (of the id column) holds; the others are
-    held out.  Null text is empty and scores its end alone.  A null id is
-    learned from.  Repeated rows count as often as they occur and give repeated
-    rows.  Other columns are not looked at; an empty table gives no rows.
+    held out.  Null text is empty and scores its end alone; texts of any length
+    are scored whole.  A null id is learned from.  Repeated rows count as often as
+    they occur and give repeated rows; there are no ties.  Other columns are not
+    looked at, whatever their names; an empty table gives no rows.
     """
-    picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(learn, F.lit(True)).alias("learn"), F.col(text_column).alias("text"))
+    # Batches are ranges of the id, and within one id of the text's hash; null ids come first.
+    place = F.coalesce(F.col(id_column).cast("double"), F.lit(-9.3e18)) + F.pmod(F.xxhash64(text_column), F.lit(1 << 20)) / float(1 << 20)
+    place = F.when(F.col(id_column).isNull(), -9.3e18 * (1 + F.pmod(F.xxhash64(text_column), F.lit(1 << 20)) / float(1 << 20))).otherwise(place)
+    picked = docs.select(place.alias("place"), F.coalesce(learn, F.lit(True)).alias("learn"), F.col(text_column).alias("text"), F.col(id_column).cast("long").alias("doc_id"))
     total = picked.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     n_batches = max(1, round(((total[0] or 0) + (total[1] or 0)) / BATCH_BYTES))
-    edges = np.zeros(0, np.int64)
+    edges = np.zeros(0)
     if n_batches > 1:
-        found = picked.agg(F.percentile_approx("doc_id", [i / n_batches for i in range(1, n_batches)], max(10_000, 10 * n_batches))).first()[0]
-        edges = np.unique(np.array(found, dtype=np.int64))
+        found = picked.agg(F.percentile_approx("place", [i / n_batches for i in range(1, n_batches)], max(10_000, 10 * n_batches))).first()[0]
+        edges = np.unique(np.array(found, dtype=np.float64))
 
     @F.pandas_udf("int")
-    def batch_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, ids.fillna(-(1 << 63)).to_numpy(dtype=np.int64), side="right").astype(np.int32))
+    def batch_of(places: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, places.to_numpy(dtype=np.float64), side="right").astype(np.int32))
 
-    blocks = cut(picked.mapInArrow(_counter(n_batches, edges), "part int, batch int, payload binary"))
+    blocks = cut(picked.select("place", "learn", "text").mapInArrow(_counter(n_batches, edges), "part int, batch int, payload binary"))
     merged = cut(blocks.groupBy("part").applyInArrow(_merge_part, "part int, payload binary"))
     totals = sample(merged)
     answers = blocks.groupBy("part").cogroup(merged.groupBy("part")).applyInArrow(_answerer(totals), "batch int, part int, payload binary")
-    sent = picked.select(batch_of("doc_id").alias("batch"), "doc_id", (~F.col("learn")).alias("held_out"), "text")
+    sent = picked.select(batch_of("place").alias("batch"), "doc_id", (~F.col("learn")).alias("held_out"), "text")
     return sent.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_scorer(totals), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def learnable(id_column: str = "doc_id") -> Column:
     """The rows that op7 learns from."""
     return id_remainder(id_column, 7) != 2
-
-

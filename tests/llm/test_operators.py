@@ -379,9 +379,9 @@ def _tokens(text):
 
 def test_base_scores_equal_brute_force(spark, odd_rows, monkeypatch):
     monkeypatch.setattr(pitman_yor, "BATCH_BYTES", 40_000)
-    rows = [r for r in odd_rows if r[0] is not None]
+    rows = odd_rows
     got = pitman_yor.score(make(spark, rows), pitman_yor.learnable()).collect()
-    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     counts = Counter(w for i, t, *_ in rows if not held(i) for w in _tokens(t))
     n, v = sum(counts.values()), len(counts)
     assert len(got) == len(rows)
@@ -411,8 +411,8 @@ def test_predictive_probabilities_sum_to_one(vocabulary):
     unique, counts = np.unique(keys, return_counts=True)
     own = pitman_yor.Sections(0, pitman_yor.pack(unique, counts))
     predict = pitman_yor.Predictive(own, _totals(own))
-    unknown = np.uint64(0xABCDEF00) << np.uint64(8)
-    for context in range(pitman_yor.CONTEXTS):
+    unknown = np.uint64(0xABCDEF00) << np.uint64(16)
+    for context in [0, *np.unique(own.context)[:40], 65535]:
         p, _ = predict(np.sort(np.append(own.words, unknown) | np.uint64(context)))
         assert p.sum() == pytest.approx(1.0) and (p > 0).all()
 
@@ -442,6 +442,28 @@ def test_packing(vocabulary):
         assert (back[0] == keys).all() and (back[1] == counts).all()
 
 
+def test_texts_that_occur_twice_score_apart(spark, vocabulary):
+    """Word pairs seen elsewhere raise a text's score beyond what its words alone do."""
+    rng = random.Random(23)
+    text = lambda: " ".join(rng.choice(vocabulary[:800]) for _ in range(80))
+    once, twice = [text() for _ in range(40)], [text() for _ in range(10)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(once + twice + twice)]
+    got = {r["doc_id"]: (r["score"] - r["base_score"]) / r["n_tokens"] for r in pitman_yor.score(make(spark, rows), F.lit(True)).collect()}
+    assert min(got[i] for i in range(40, 60)) > max(got[i] for i in range(40))
+
+
+def test_one_id_is_many_batches(spark, vocabulary, monkeypatch):
+    """Null ids and one repeated id, over many batches, against all in one."""
+    rng = random.Random(29)
+    rows = [(rng.choice([None, 7]), " ".join(rng.choice(vocabulary) for _ in range(60)), "en", "a") for _ in range(60)]
+    seen = {}
+    for size in (2_000, 1 << 30):
+        monkeypatch.setattr(pitman_yor, "BATCH_BYTES", size)
+        found = pitman_yor.score(make(spark, rows), pitman_yor.learnable())
+        seen[size] = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in found.collect())
+    assert seen[2_000] == seen[1 << 30] and len(seen[2_000]) == 60
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     got = queries.op7_lm_scoring(spark, SMALL).toPandas()
     assert got.score.sum() > got.base_score.sum() and got[got.held_out].score.sum() > got[got.held_out].base_score.sum()

@@ -40,6 +40,8 @@ SHINGLE_WORDS = 5
 PERMUTATIONS = 64
 BANDS = 32
 SMALL = 16
+#: Counters of the shingles' numbers of documents, whatever the corpus.
+SKETCH = 1 << 20
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -115,6 +117,22 @@ def _with_component(members: DataFrame, comps: DataFrame) -> DataFrame:
     return members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
+def _prefixes(sketch: np.ndarray):
+    """(s, doc_id, component, n, place): the shingles of each document that may find smaller sets, rarest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
+            sizes = batch.column(2).to_numpy()
+            sets = textnp.lists(pa.chunked_array([batch.column(3)]))
+            longest = sizes - -(-sizes * PERCENT // 100) + 1
+            kept = [x[np.lexsort((x, sketch[x % SKETCH]))[:k]] for x, k in zip(sets, longest, strict=True)]
+            rows = np.repeat(np.arange(len(sizes)), longest)
+            place = np.concatenate([np.arange(1, k + 1) for k in longest])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept)), *(batch.column(i).take(pa.array(rows)) for i in range(3)), pa.array(place)], names=["s", "doc_id", "component", "n", "place"])
+
+    return run
+
+
 def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
     """(node, component) after ``more`` links (u, v); the links are contracted to links of components first."""
     side = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
@@ -127,28 +145,20 @@ def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
 def _across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) of different components that may still be linked, by prefix filtering.
 
-    ``members``: (doc_id, component).  Shingles are put in order of their number
-    of documents, rarest first.  Two sets with an intersection of at least
-    a = ceil(P (n1 + n2) / (100 + P)) have a common shingle among the first
-    n1 - a + 1 of the one and the first n2 - a + 1 of the other.  As a grows with
-    the other set, a set needs n - ceil(P n / 100) + 1 shingles to meet smaller
-    ones, but only n - ceil(2 P n / (100 + P)) + 1 to be met by ones of its size or
-    larger.  A document far from its group has that many shingles of its own and
-    meets no one.
+    ``members``: (doc_id, component).  Shingles are put in one order for all
+    documents, rarest first by a sketch of SKETCH counters.  Two sets with an
+    intersection of at least a = ceil(P (n1 + n2) / (100 + P)) have a common shingle
+    among the first n1 - a + 1 of the one and the first n2 - a + 1 of the other,
+    whatever the order.  As a grows with the other set, a set needs
+    n - ceil(P n / 100) + 1 shingles to meet smaller ones, but only
+    n - ceil(2 P n / (100 + P)) + 1 to be met by ones of its size or larger.  A
+    document far from its group has that many shingles of its own and meets no one.
     """
-    own = sets.join(members, "doc_id")
-    flat = own.select("doc_id", "component", "n", F.explode("shingles").alias("s"))
-    shared = cut(flat.groupBy("s").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("df > 1").select("s", "df", F.col("df").alias("m"), (F.col("lo") != F.col("hi")).alias("mixed")))
-    ranked = join_with_hot(flat, shared, ["s"], "m").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s", "mixed"))).alias("order"))
-    # Shingles of one document alone come first; they need no entry, but they take up places.
-    longest = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    alone = F.col("n") - F.size("order")
-    entries = cut(
-        ranked.where(alone < longest)
-        .select("doc_id", "component", "n", alone.alias("alone"), longest.alias("longest"), F.posexplode("order").alias("at", "x"))
-        .where("alone + at < longest AND x.mixed")
-        .select(F.col("x.s").alias("s"), "doc_id", "component", "n", (F.col("alone") + F.col("at") + 1).alias("place"))
-    )
+    own = sets.join(members, "doc_id").select("doc_id", "component", "n", "shingles")
+    counters = own.select(F.explode("shingles").alias("s")).groupBy(F.pmod("s", F.lit(SKETCH)).alias("counter")).agg(F.count("*").alias("m")).toArrow()
+    sketch = np.zeros(SKETCH, dtype=np.int64)
+    sketch[counters["counter"].to_numpy()] = counters["m"].to_numpy()
+    entries = cut(own.mapInArrow(_prefixes(sketch), "s long, doc_id long, component long, n long, place long"))
     counts = entries.groupBy("s", "component").agg(F.count("*").alias("m"))
     largest = cut(counts.groupBy("s").agg(F.sum("m").alias("m"), F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("several")).where("several > 1").drop("several"))
     marked = cut(join_with_hot(entries, largest, ["s"], "m").withColumn("small", F.col("component") != F.col("largest")).drop("largest"))

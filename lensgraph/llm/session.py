@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but ASCII white space.
@@ -37,24 +37,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or tempfile.mkdtemp(prefix="checkpoint-")
 
 
+def _shares(counts: DataFrame, key: str, count: str, limit: int) -> Column:
+    """In how many shares a key is dealt: a power of two from its rows over ``limit``; 1 for all but the hot keys, which the driver gets."""
+    levels: dict[int, set] = {}
+    for value, rows in counts.where(F.col(count) > limit).select(key, count).collect():
+        levels.setdefault((-(-rows // limit) - 1).bit_length(), set()).add(value)
+    out = F.lit(1)
+    for level in sorted(levels):
+        out = F.when(F.col(key).isin(*levels[level]), 1 << level).otherwise(out)
+    return out.cast("int")
+
+
+def _dealt(rows: DataFrame, others: DataFrame, on: list[str], shares: Column) -> DataFrame:
+    left = rows.withColumn("__share", F.pmod(F.xxhash64(*rows.columns), shares).cast("int"))
+    right = others.withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return left.join(right, [*on, "__share"]).drop("__share")
+
+
 def join_with_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str, shares_as: str | None = None) -> DataFrame:
     """``rows`` joined with ``keys``, which has one row for each key and in ``count`` the number of rows it meets.
 
     A key that makes up more than one in HOT of the rows met is dealt over as many
-    shares as it exceeds that; a row's share is a hash of its columns.  The hot
-    keys, fewer than HOT, are broadcast to ``rows`` and repeated for each share, so
+    shares as it exceeds that; a row's share is a hash of its columns.  The driver
+    gets the hot keys, fewer than HOT, and each is repeated for its shares, so
     ``rows`` is read once and no task gets all rows of a key.  ``shares_as`` names
     a column for the number of shares of each row's key, for joins that follow.
     """
-    total = keys.agg(F.sum(count)).first()[0] or 0
-    limit = total // HOT + 1
-    shares = F.ceil(F.col(count) / limit).cast("int")
-    hot = keys.where(F.col(count) > limit).select(*on, shares.alias("__shares"))
-    dealt = rows.withColumn("__row", F.xxhash64(*rows.columns)).join(F.broadcast(hot), on, "left")
-    dealt = dealt.withColumn("__share", F.coalesce(F.pmod("__row", F.col("__shares")), F.lit(0)).cast("int")).drop("__row", "__shares")
-    repeated = keys.withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1)))
-    repeated = (repeated.withColumn(shares_as, shares) if shares_as else repeated).drop(count)
-    return dealt.drop("__shares").join(repeated, [*on, "__share"]).drop("__share")
+    shares = _shares(keys, on[0], count, (keys.agg(F.sum(count)).first()[0] or 0) // HOT + 1)
+    return _dealt(rows, (keys.withColumn(shares_as, shares) if shares_as else keys).drop(count), on, shares)
 
 
 def join_dealt(rows: DataFrame, others: DataFrame, on: list[str], counts: DataFrame, count: str) -> DataFrame:
@@ -62,12 +72,7 @@ def join_dealt(rows: DataFrame, others: DataFrame, on: list[str], counts: DataFr
 
     As in ``join_with_hot``, the rows of a hot key are dealt over shares, and the others of that key are repeated for each share.
     """
-    limit = max(SHARE_ROWS, (counts.agg(F.sum(count)).first()[0] or 0) // HOT + 1)
-    hot = F.broadcast(counts.where(F.col(count) > limit).select(*on, F.ceil(F.col(count) / limit).cast("int").alias("__shares")))
-    shares = F.coalesce("__shares", F.lit(1))
-    left = rows.withColumn("__row", F.xxhash64(*rows.columns)).join(hot, on, "left").withColumn("__share", F.pmod("__row", shares).cast("int")).drop("__row", "__shares")
-    right = others.join(hot, on, "left").withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("__shares")
-    return left.join(right, [*on, "__share"]).drop("__share")
+    return _dealt(rows, others, on, _shares(counts, on[0], count, max(SHARE_ROWS, (counts.agg(F.sum(count)).first()[0] or 0) // HOT + 1)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

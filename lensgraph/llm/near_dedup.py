@@ -186,8 +186,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     signed = cut(texts.mapInArrow(_sign, _SIGNED))
     filled = signed.where("n > 0 AND doc_id IS NOT NULL")
-    classes = filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    copies = cut(filled.select("doc_id", "d1", "d2", "n").join(classes.where("copies > 1"), ["d1", "d2", "n"]).select("doc_id", "rep").distinct())
+    classes = cut(filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1"))
+    copies = cut(join_with_hot(filled.select("doc_id", "d1", "d2", "n"), classes, ["d1", "d2", "n"], "copies").select("doc_id", "rep").distinct())
     reps = filled.join(copies.where("doc_id != rep"), "doc_id", "left_anti")
 
     keyed = reps.select("doc_id", F.explode("keys").alias("key")).distinct()

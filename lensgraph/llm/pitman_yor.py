@@ -131,9 +131,19 @@ def _counter(parts: int, edges: np.ndarray):
 
 
 def _merge_part(table: pa.Table) -> pa.Table:
-    keys, counts = merge([unpack(x) for x in table["payload"].to_pylist()])
-    keys, counts = keys[counts > 0], counts[counts > 0]
-    return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "payload": pa.array([pack(keys, counts)], pa.binary())})
+    """A word partition's training counts (batch -1), and after them the pairs that each batch asks for."""
+    asked: dict[int, list[np.ndarray]] = {}
+    blocks = []
+    for batch, payload in zip(table["batch"].to_pylist(), table["payload"], strict=True):
+        keys, counts = unpack(payload.as_py())
+        asked.setdefault(batch, []).append(keys)
+        blocks.append((keys[counts > 0], counts[counts > 0]))
+    rows = [(-1, pack(*merge(blocks)))]
+    for batch in sorted(asked):
+        keys = np.unique(np.concatenate(asked.pop(batch)))
+        rows.append((batch, pack(keys, np.zeros(len(keys), np.int64))))
+    batches, payloads = zip(*rows, strict=True)
+    return pa.table({"part": pa.array([table["part"][0].as_py()] * len(rows), pa.int32()), "batch": pa.array(batches, pa.int32()), "payload": pa.array(payloads, pa.binary())})
 
 
 @dataclass(frozen=True)
@@ -286,24 +296,20 @@ class Predictive:
 
 
 def _answerer(totals: Totals):
-    """(batch, part, payload): the answers to a batch's pairs in the order of the pairs."""
+    """(batch, part, payload): the answers to a batch's pairs in the order of the pairs; a partition's counts come before its batches."""
 
-    def run(asked: pa.Table, merged: pa.Table) -> pa.Table:
-        schema = pa.schema([("batch", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
-        if not asked.num_rows:
-            return schema.empty_table()
-        part = asked["part"][0].as_py()
-        predict = Predictive(Sections(part, merged["payload"][0].as_py() if merged.num_rows else pack(np.zeros(0, _U), np.zeros(0, np.int64))), totals)
-        wanted: dict[int, list[np.ndarray]] = {}
-        for batch, payload in zip(asked["batch"].to_pylist(), asked["payload"].to_pylist(), strict=True):
-            wanted.setdefault(batch, []).append(unpack(payload)[0])
-        batches, payloads = [], []
-        for batch, keys in wanted.items():
-            probability, counts = predict(np.unique(np.concatenate(keys)))
-            raw = np.log10(probability).astype(np.float32).tobytes() + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
-            batches.append(batch)
-            payloads.append(np.int64(len(counts)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True))
-        return pa.table([pa.array(batches, pa.int32()), pa.array([part] * len(batches), pa.int32()), pa.array(payloads, pa.binary())], schema=schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = None
+        for rows in batches:
+            for part, batch, payload in zip(*(rows.column(i) for i in range(3)), strict=True):
+                part, batch, payload = part.as_py(), batch.as_py(), payload.as_py()
+                if batch < 0:
+                    predict = Predictive(Sections(part, payload), totals)
+                    continue
+                probability, counts = predict(unpack(payload)[0])
+                raw = np.log10(probability).astype(np.float32).tobytes() + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+                packed = np.int64(len(counts)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int32()), pa.array([part], pa.int32()), pa.array([packed], pa.binary())], names=["batch", "part", "payload"])
 
     return run
 
@@ -363,10 +369,11 @@ def score(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column
     def batch_of(places: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(edges, places.to_numpy(dtype=np.float64), side="right").astype(np.int32))
 
-    blocks = cut(picked.select("place", "learn", "text").mapInArrow(_counter(n_batches, edges), "part int, batch int, payload binary"))
-    merged = cut(blocks.groupBy("part").applyInArrow(_merge_part, "part int, payload binary"))
-    totals = sample(merged)
-    answers = blocks.groupBy("part").cogroup(merged.groupBy("part")).applyInArrow(_answerer(totals), "batch int, part int, payload binary")
+    blocks = picked.select("place", "learn", "text").mapInArrow(_counter(n_batches, edges), "part int, batch int, payload binary")
+    # Written by word partition, each one's rows in order, so that neither sweeps nor answers shuffle them again.
+    stored = cut(blocks.groupBy("part").applyInArrow(_merge_part, "part int, batch int, payload binary"))
+    totals = sample(stored.where("batch < 0").select("part", "payload"))
+    answers = stored.mapInArrow(_answerer(totals), "batch int, part int, payload binary")
     sent = picked.select(batch_of("place").alias("batch"), "doc_id", (~F.col("learn")).alias("held_out"), "text")
     return sent.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_scorer(totals), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

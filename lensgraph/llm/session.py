@@ -21,9 +21,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
     A folder of our own is made in local mode alone, where driver and executors
-    are one machine; on a cluster a missing setting is an error.
+    are one machine; on a cluster a missing setting is an error.  The files of a
+    checkpoint go once no plan refers to it any more, unless the session says otherwise.
     """
     context = df.sparkSession.sparkContext
+    # Spark looks at this setting whenever it checkpoints.
+    context._jsc.sc().conf().setIfMissing("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

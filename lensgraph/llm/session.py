@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,12 @@ SHARE_ROWS = 4096
 HOT = 1000
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files and checkpoints that no plan needs, which it does once the driver has collected the plans."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
@@ -29,6 +36,8 @@ def cut(df: DataFrame) -> DataFrame:
     context._jsc.sc().conf().setIfMissing("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
+    # The shuffles behind earlier cuts are not needed any more.
+    release(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -5,19 +5,12 @@ Every stage is written as Parquet and read again as the next one's documents.
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lensgraph.llm import decontaminate, language_id, line_dedup, mixing, near_dedup
-from lensgraph.llm.session import shared_folder, table
-
-
-def _release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of the stages before, which it does once the driver has collected their plans."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+from lensgraph.llm.session import release, shared_folder, table
 
 
 def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,25 +20,25 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated runs of lines go; documents that nothing is left of go with them."""
-    _release(spark)
+    release(spark)
     return line_dedup.clean_documents(docs)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    _release(spark)
+    release(spark)
     return near_dedup.keep_one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share a passage with the benchmark go."""
-    _release(spark)
+    release(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with how many of its words the mix takes (taken), its size and its source's size and target."""
-    _release(spark)
+    release(spark)
     return mixing.add_taken(docs)
 
 

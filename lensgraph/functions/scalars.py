@@ -77,6 +77,11 @@ def script_safe_json(x: Column) -> Column:
     return F.replace(F.to_json(x), F.lit("<"), F.lit("\\u003c"))
 
 
+def iso_seconds(x: Column) -> Column:
+    """A date or time as ISO text, to the second."""
+    return F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in metres, to three decimals."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2.0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -52,6 +53,28 @@ def declared_size(name: str, parents: DataFrame, children: DataFrame, key: str,
     return _row(f"declared size: {name}", parents.join(actual, key, "full").where(~F.col(declared).eqNullSafe(F.col("__n"))))
 
 
+def least_size(name: str, df: DataFrame, declared: str, least: int = 2) -> DataFrame:
+    """Groups have ``least`` members at least."""
+    return _row(f"least size: {name}", df.where(F.col(declared).isNull() | (F.col(declared) < least)))
+
+
+def totals(name: str, counts: DataFrame, by: list[str], n: str, expected: int) -> DataFrame:
+    """The counts of a contingency table add up to ``expected`` for each of ``by``."""
+    return _row(f"totals: {name}", counts.groupBy(*by).agg(F.sum(n).alias("__n")).where(~F.col("__n").eqNullSafe(F.lit(expected))))
+
+
+def unchanged(name: str, before: DataFrame, after: DataFrame, keys: list[str], digest: str = "sha256") -> DataFrame:
+    """Every key of either side is on both, with the same digest; keys are unique and not null."""
+    a = before.select(*keys, F.col(digest).alias("__a"))
+    b = after.select(*keys, F.col(digest).alias("__b"))
+    return _row(f"unchanged: {name}", a.join(b, keys, "full").where(F.col("__a").isNull() | F.col("__b").isNull() | (F.col("__a") != F.col("__b"))))
+
+
+def manifest_count(name: str, df: DataFrame, document: str) -> DataFrame:
+    """``df`` has as many rows as its manifest says."""
+    return row_count(f"manifest: {name}", df, json.loads(document)["rows"])
+
+
 def required_columns(df: DataFrame, columns: set[str]) -> None:
     missing = columns - set(df.columns)
     if missing:

@@ -59,6 +59,11 @@ def query_clusters(listing: DataFrame, status: str | None = None, confidence: st
     return listing.where(_all(wanted))
 
 
+def cluster_counts(found: DataFrame) -> DataFrame:
+    """(cluster_status, n, members): clusters found by status, and the images in them."""
+    return found.groupBy("cluster_status").agg(F.count("*").alias("n"), F.sum("jumlah_gambar").alias("members"))
+
+
 def cluster_detail(clusters: DataFrame, members: DataFrame, group: str) -> DataFrame:
     """One row a member of a cluster, with the cluster's columns; empty if there is no such cluster."""
     own = members.where(F.col("duplicate_group_id") == group)

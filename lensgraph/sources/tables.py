@@ -20,13 +20,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str, optional: bool = False) -> DataFrame:
-    """A JSON array file; an optional one that is missing is an empty table."""
+    """A JSON array file; an optional one that is missing, or whose text does not parse, is an empty table."""
+    reader = spark.read.option("multiLine", True)
+    if not optional:
+        return reader.schema(schema).json(path)
     try:
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.get_json_object("value", "$").isNotNull().alias("sound"))
+        sound = [r["path"] for r in files.where("sound").select("path").collect()]
     except AnalysisException:
-        if optional:
-            return spark.createDataFrame([], schema)
-        raise
+        sound = []
+    return reader.schema(schema).json(sound) if sound else spark.createDataFrame([], schema)
 
 
 def read_cache(spark: SparkSession, path: str, schema: StructType | str, key: str, order: str) -> DataFrame:
@@ -80,6 +83,11 @@ def manifest(df: DataFrame, groups: list[str], **extra: str) -> str:
     return json.dumps({"rows": total, "digest": str(mixed), "counts": counts, **extra}, ensure_ascii=False, sort_keys=True)
 
 
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(path, sha256) of the files under ``path``, of at most 2 GB each."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+
 def probe_workbook(path: str) -> dict:
     """Whether an XLSX is sound: its sheet names, rows of each sheet and formula errors, read as ZIP and XML."""
     with zipfile.ZipFile(path) as archive:

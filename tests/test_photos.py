@@ -128,6 +128,10 @@ def test_tables(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"k": 1, "v": "x"}, {"k": 2, "v": null}]')
     assert tables.read_json(spark, str(tmp_path / "a.json"), "k int, v string").count() == 2
     assert tables.read_json(spark, str(tmp_path / "none.json"), "k int, v string", optional=True).count() == 0
+    (tmp_path / "broken.json").write_text('[{"k": 1, "v":')
+    assert tables.read_json(spark, str(tmp_path / "broken.json"), "k int, v string", optional=True).count() == 0
+    (tmp_path / "typed.json").write_text('[{"k": "x", "v": "b"}, {"k": 2, "v": null}, {"k": null, "v": null}]')
+    assert sorted(map(tuple, tables.read_json(spark, str(tmp_path / "typed.json"), "k int, v string", optional=True).collect()), key=str) == [(2, None), (None, "b"), (None, None)]
     (tmp_path / "c.jsonl").write_text('{"k": 1, "t": 1, "v": "old"}\n{"k": 1, "t": 2, "v": "new"}\n')
     assert tables.read_cache(spark, str(tmp_path / "c.jsonl"), "k int, t int, v string", "k", "t").first()["v"] == "new"
     df = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")

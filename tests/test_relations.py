@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lensgraph import serving
+from lensgraph.functions import scalars
 from lensgraph.operators import expectations, graph, reconcile, relationship, similarity
+from lensgraph.sources import tables
 
 PAIR = "image_a string, image_b string, embedding_similarity double, phash_distance int, feature_match_score double, gps_distance_meter double, time_difference_second double, image_hash_a string, image_hash_b string"
 CASES = [
@@ -127,3 +129,28 @@ def test_portal(spark):
     assert len(first) == len(second) == 50 and not {r["id"] for r in first} & {r["id"] for r in second} and first[0]["total"] == 190
     assert serving.query_pairs(pairs, q="img001").where(~(F.col("image_a").contains("001") | F.col("image_b").contains("001"))).count() == 0
     assert serving.page(pairs, -5, 50).first()["id"] == 1
+
+
+def test_totals_digests_and_manifests(spark, tmp_path):
+    checked = lambda c: c.first()["violations"]
+    counts = spark.createDataFrame([("f", "a", 2), ("f", "b", 1), ("g", "a", 4)], "feature string, code string, n long")
+    assert checked(expectations.totals("t", counts, ["feature"], "n", 3)) == 1
+    assert checked(expectations.least_size("s", counts, "n")) == 1
+    assert checked(expectations.manifest_count("m", counts, tables.manifest(counts, ["feature"]))) == 0
+    assert checked(expectations.manifest_count("m", counts.limit(2), tables.manifest(counts, ["feature"]))) == 1
+    for name in "ab":
+        (tmp_path / name).write_text(name)
+    before = spark.createDataFrame(tables.file_digests(spark, str(tmp_path)).collect())
+    assert checked(expectations.unchanged("u", before, tables.file_digests(spark, str(tmp_path)), ["path"])) == 0
+    (tmp_path / "a").write_text("other")
+    (tmp_path / "c").write_text("new")
+    assert checked(expectations.unchanged("u", before, tables.file_digests(spark, str(tmp_path)), ["path"])) == 2
+
+
+def test_cluster_counts(spark):
+    found = spark.createDataFrame([("VALID", 2), ("VALID", 3), ("NEED_REVIEW", 5)], "cluster_status string, jumlah_gambar int")
+    assert {tuple(r) for r in serving.cluster_counts(found).collect()} == {("VALID", 2, 5), ("NEED_REVIEW", 1, 5)}
+
+
+def test_iso_seconds(spark):
+    assert spark.sql("SELECT timestamp '2024-05-06 07:08:09.9' AS t").select(scalars.iso_seconds(F.col("t"))).first()[0] == "2024-05-06T07:08:09"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -17,14 +18,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder named by spark.checkpoint.dir.
 
     A folder of our own is made in local mode alone, where driver and executors
-    are one machine; on a cluster a missing setting is an error.
+    are one machine; on a cluster a missing setting is an error.  The files of a
+    checkpoint go once no plan refers to it any more, unless the session says
+    otherwise, and so do the shuffle files behind earlier cuts.
     """
     context = df.sparkSession.sparkContext
+    # Spark looks at this setting whenever it checkpoints.
+    context._jsc.sc().conf().setIfMissing("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not folder and not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a shared folder")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    # Spark deletes what no plan needs once the driver has collected the plans.
+    gc.collect()
+    context._jvm.System.gc()
     return df.checkpoint(eager=True)
 
 

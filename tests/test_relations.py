@@ -1,4 +1,6 @@
 import itertools
+import os
+import random
 
 import numpy as np
 import pytest
@@ -6,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lensgraph import serving
 from lensgraph.functions import scalars
-from lensgraph.operators import expectations, graph, reconcile, relationship, similarity
+from lensgraph.operators import expectations, graph, overlap, reconcile, relationship, similarity
+from lensgraph.plans import fixtures
 from lensgraph.sources import tables
 
 PAIR = "image_a string, image_b string, embedding_similarity double, phash_distance int, feature_match_score double, gps_distance_meter double, time_difference_second double, image_hash_a string, image_hash_b string"
@@ -154,3 +157,39 @@ def test_cluster_counts(spark):
 
 def test_iso_seconds(spark):
     assert spark.sql("SELECT timestamp '2024-05-06 07:08:09.9' AS t").select(scalars.iso_seconds(F.col("t"))).first()[0] == "2024-05-06T07:08:09"
+
+
+def test_set_pairs_equal_all_pairs(spark):
+    rng = random.Random(8)
+    word = lambda: rng.choice("a b c d e f g h é  x".split(" "))
+    texts = ["", " ", "a b", "a b c", "A b c", "a  b c", " a b c ", "a\nb c d"] + [" ".join(word() for _ in range(rng.randint(3, 60))) for _ in range(60)]
+    for base in texts[20:30]:
+        texts += [base + " " + word() + " y" * i for i in range(4)] + [base, base.upper()]
+    texts = list(dict.fromkeys(texts))
+    copies = [(i, t, t) for i, t in enumerate(texts)] + [(1000 + i, t, t) for i, t in enumerate(texts[:30])] + [(2000, "null", None)]
+    df = spark.createDataFrame(copies, "name long, own string, text string").select(F.xxhash64("own").alias("node"), "name", F.lower("text").alias("text")).repartition(3)
+    sets = []
+    for t in texts:
+        w = t.lower().split(" ")
+        sets.append({tuple(w[i : i + 3]) for i in range(len(w) - 2)})
+    for least in (0.5, 0.8):
+        expected = {}
+        for i, j in itertools.combinations(range(len(texts)), 2):
+            c = len(sets[i] & sets[j])
+            if c and c * c >= least * least * len(sets[i]) * len(sets[j]):
+                expected[i, j] = c
+        got = overlap.set_pairs(df, least).collect()
+        assert len(got) == len(expected) > 50
+        assert {tuple(sorted((r["name_a"], r["name_b"]))): r["shared"] for r in got} == expected
+    assert overlap.set_pairs(df.limit(0), 0.5).count() == 0
+
+
+def test_pairs_keep_less_on_disk_than_the_texts(spark):
+    small = "/root/testdata/sf0.001"
+    graph.cut_lineage(spark.range(1))
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    held = lambda: {p: os.path.getsize(p) for d, _, names in os.walk(folder) for x in names for p in [os.path.join(d, x)]}
+    before = held()
+    fixtures.pairs(spark, small).count()
+    texts = spark.read.parquet(f"{small}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
+    assert sum(size for p, size in held().items() if p not in before) < texts

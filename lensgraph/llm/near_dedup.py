@@ -118,7 +118,7 @@ def _with_component(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _prefixes(sketch: np.ndarray):
-    """(s, doc_id, component, n, place): the shingles of each document that may find smaller sets, rarest first."""
+    """(s, doc_id, component, n, place, before): the shingles of each document that may find smaller sets, rarest first, each with the one before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
@@ -128,7 +128,8 @@ def _prefixes(sketch: np.ndarray):
             kept = [x[np.lexsort((x, sketch[x % SKETCH]))[:k]] for x, k in zip(sets, longest, strict=True)]
             rows = np.repeat(np.arange(len(sizes)), longest)
             place = np.concatenate([np.arange(1, k + 1) for k in longest])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept)), *(batch.column(i).take(pa.array(rows)) for i in range(3)), pa.array(place)], names=["s", "doc_id", "component", "n", "place"])
+            before = np.concatenate([x for own, k in zip(batch.column(0).to_numpy(), kept, strict=True) for x in ([own], k[:-1])])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept)), *(batch.column(i).take(pa.array(rows)) for i in range(3)), pa.array(place), pa.array(before)], names=["s", "doc_id", "component", "n", "place", "before"])
 
     return run
 
@@ -143,6 +144,11 @@ def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def _across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) of different components that may still be linked, once each."""
+    return _meetings(members, sets).distinct()
+
+
+def _meetings(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) of different components that may still be linked, by prefix filtering.
 
     ``members``: (doc_id, component).  Shingles are put in one order for all
@@ -153,24 +159,26 @@ def _across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
     n - ceil(P n / 100) + 1 shingles to meet smaller ones, but only
     n - ceil(2 P n / (100 + P)) + 1 to be met by ones of its size or larger.  A
     document far from its group has that many shingles of its own and meets no one.
+    Documents meet at the first shingle of each run that they have in common.
     """
     own = sets.join(members, "doc_id").select("doc_id", "component", "n", "shingles")
     counters = own.select(F.explode("shingles").alias("s")).groupBy(F.pmod("s", F.lit(SKETCH)).alias("counter")).agg(F.count("*").alias("m")).toArrow()
     sketch = np.zeros(SKETCH, dtype=np.int64)
     sketch[counters["counter"].to_numpy()] = counters["m"].to_numpy()
-    entries = cut(own.mapInArrow(_prefixes(sketch), "s long, doc_id long, component long, n long, place long"))
+    entries = cut(own.mapInArrow(_prefixes(sketch), "s long, doc_id long, component long, n long, place long, before long"))
     counts = entries.groupBy("s", "component").agg(F.count("*").alias("m"))
     largest = cut(counts.groupBy("s").agg(F.sum("m").alias("m"), F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("several")).where("several > 1").drop("several"))
     marked = cut(join_with_hot(entries, largest, ["s"], "m").withColumn("small", F.col("component") != F.col("largest")).drop("largest"))
     met = marked.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1)
-    met = met.select("s", *(F.col(c).alias(f"l_{c}") for c in ("doc_id", "component", "n", "place", "small")))
+    met = met.select("s", *(F.col(c).alias(f"l_{c}") for c in ("doc_id", "component", "n", "place", "before", "small")))
     # Entries of a shingle's largest component do not meet each other: at least one of two is of another.
     pairs = join_dealt(marked, met.where("l_small"), ["s"], largest, "m").unionByName(join_dealt(marked.where("small"), met.where("NOT l_small"), ["s"], largest, "m"))
+    # Two documents that have the same shingle before met there already, and those of one size meet from one side.
+    once = (F.col("before") != F.col("l_before")) & ((F.col("n") > F.col("l_n")) | ((F.col("n") == F.col("l_n")) & (F.col("doc_id") > F.col("l_doc_id"))))
     need = F.ceil((F.col("n") + F.col("l_n")) * PERCENT / (100 + PERCENT))
     return (
-        pairs.where((F.col("component") != F.col("l_component")) & (F.col("n") >= F.col("l_n")) & (F.col("place") <= F.col("n") - need + 1) & (F.col("l_place") <= F.col("l_n") - need + 1))
+        pairs.where((F.col("component") != F.col("l_component")) & once & (F.col("place") <= F.col("n") - need + 1) & (F.col("l_place") <= F.col("l_n") - need + 1))
         .select(F.least("doc_id", "l_doc_id").alias("u"), F.greatest("doc_id", "l_doc_id").alias("v"))
-        .distinct()
     )
 
 

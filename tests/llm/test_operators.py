@@ -101,6 +101,14 @@ def test_near_duplicates_with_a_hot_shingle(spark, vocabulary):
     assert got == brute.components(rows)
 
 
+def test_documents_meet_once_for_a_run_of_shingles(spark):
+    """A pair that shares one run of 40 shingles meets once, not once for each shingle and from both sides."""
+    sets = spark.createDataFrame([(i, 41, [*range(40), 1000 + i]) for i in range(6)], "doc_id long, n long, shingles array<long>")
+    members = spark.createDataFrame([(i, i) for i in range(6)], "doc_id long, component long")
+    met = near_dedup._meetings(members, sets).collect()
+    assert sorted(map(tuple, met)) == [(i, j) for i in range(6) for j in range(i + 1, 6)]
+
+
 # Decontamination
 
 

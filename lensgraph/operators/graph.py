@@ -14,6 +14,9 @@ from lensgraph.config import RELATION_TYPES, ClusterValidation, Relationship
 from lensgraph.functions.scalars import quality_score
 
 
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder named by spark.checkpoint.dir.
 
@@ -33,7 +36,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     # Spark deletes what no plan needs once the driver has collected the plans.
     gc.collect()
     context._jvm.System.gc()
-    return df.checkpoint(eager=True)
+    # Its own shuffle files go as soon as it is written.
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_SHUFFLES, None)
+    conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        conf.set(CLEAN_SHUFFLES, before) if before is not None else conf.unset(CLEAN_SHUFFLES)
 
 
 def connected_components(edges: DataFrame, a: str = "image_a", b: str = "image_b") -> DataFrame:

@@ -28,8 +28,8 @@ from lensgraph.functions import grams
 from lensgraph.operators.graph import cut_lineage
 
 #: Characters of text whose grams make one part, which a task holds as a whole, and grams that wait for their blocks.
-PART_CHARS = 1 << 25
-BLOCK_GRAMS = 1 << 20
+PART_CHARS = 1 << 24
+BLOCK_GRAMS = 1 << 19
 #: A tile of texts that are likely to be pairs has so many texts and grams at most, or about so.
 TILE_TEXTS = 512
 TILE_GRAMS = 1 << 19

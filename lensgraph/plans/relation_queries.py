@@ -22,7 +22,11 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _score(spark: SparkSession, d: str) -> DataFrame:
-    pairs = relationship.with_pair_attributes(fixtures.pairs(spark, d), fixtures.images(spark, d), "image_hash", "phash", "lat", "lon", "second")
+    pairs = fixtures.pairs(spark, d)
+    attributes = ["image_hash", "phash", "lat", "lon", "second"]
+    # Taken from the texts once for both sides.
+    index = graph.cut_lineage(fixtures.images(spark, d).select("image_id", *attributes))
+    pairs = relationship.with_pair_attributes(pairs, index, *attributes)
     ready = pairs.withColumns(
         {
             "phash_distance": S.hamming(F.col("phash_a"), F.col("phash_b")),

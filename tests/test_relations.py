@@ -193,3 +193,22 @@ def test_pairs_keep_less_on_disk_than_the_texts(spark):
     fixtures.pairs(spark, small).count()
     texts = spark.read.parquet(f"{small}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
     assert sum(size for p, size in held().items() if p not in before) < texts
+
+
+def test_grams_are_dealt_in_rounds(spark, monkeypatch):
+    """Many rounds find the pairs of one round, and what is dealt at a time is a share of all grams."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL")
+    texts = docs.select(F.xxhash64("text").alias("node"), F.col("doc_id").alias("name"), F.lower("text").alias("text"))
+    found = lambda: sorted(tuple(sorted((r["name_a"], r["name_b"]))) + (r["shared"], r["n_a"] + r["n_b"]) for r in overlap.set_pairs(texts, 0.5).collect())
+    monkeypatch.setattr(overlap, "ROUNDS", 1)
+    once = found()
+    dealt = lambda rounds, turn: texts.select("node", "text").mapInArrow(overlap._dealt(3, 40, rounds, turn), overlap._BLOCKS).select("part", F.size("low").alias("n"), "sizes").collect()
+    whole = dealt(1, 0)
+    monkeypatch.setattr(overlap, "ROUNDS", 3)
+    monkeypatch.setattr(overlap, "PART_CHARS", 1 << 12)
+    monkeypatch.setattr(overlap, "BLOCK_GRAMS", 1 << 8)
+    assert once and found() == once
+    turns = [dealt(3, turn) for turn in range(3)]
+    assert sum(r["n"] for t in turns for r in t) == sum(r["n"] for r in whole)
+    assert max(sum(r["n"] for r in t) for t in turns) < 0.5 * sum(r["n"] for r in whole)
+    assert all(r["part"] % 3 == turn for turn, t in enumerate(turns) for r in t)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lensgraph.llm.session import SPACED_WORD, cut
+from lensgraph.llm.session import SPACED_WORD, cut, release
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -140,6 +140,8 @@ def _mixed(docs: DataFrame, picked: DataFrame, weights: tuple[int, ...], share:
     if len(sources) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     spark = docs.sparkSession
+    # What follows is one plan, over which nothing else lets the driver's memory go.
+    release(spark)
     order = sorted(range(len(sources)), key=lambda i: (sources["source"][i] is None, (sources["source"][i] or "").encode()))
     sizes = sources["source_size"].to_numpy(dtype=np.int64)[order] if len(sources) else np.zeros(0, np.int64)
     rows = sources["rows"].to_numpy(dtype=np.int64)[order] if len(sources) else np.zeros(0, np.int64)

@@ -1,7 +1,14 @@
+import gc
+import platform
+import re
+import time
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lensgraph.llm import decontaminate, mixing
+from lensgraph.llm import decontaminate, mixing, session
 from tests.llm import brute
 from tests.llm.conftest import make
 
@@ -50,3 +57,21 @@ def test_stages_on_odd_rows(spark, odd_rows):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).where("taken > 0").count() > 50
+
+
+@pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="freed memory is kept by glibc")
+def test_release_gives_freed_memory_of_the_driver_back(spark):
+    jvm = spark.sparkContext._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+    held = lambda: sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path(f"/proc/{pid}/smaps_rollup").read_text()))) // 1024
+    buffers = [jvm.java.nio.ByteBuffer.allocateDirect(1 << 16) for _ in range(3000)]
+    kept = buffers[::64]  # what lies between them can not be given back by itself
+    del buffers
+    for _ in range(3):
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.5)
+    before = held()
+    session.release(spark)
+    assert before - held() > 100
+    assert len(kept) == 47
